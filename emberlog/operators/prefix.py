@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 HOUR_US = 60 * MINUTE_US
+CELL_ROWS = 4_000_000
 
 
 def epoch_us(ts: Column) -> Column:
@@ -33,40 +34,81 @@ def second_of(us: Column) -> Column:
     return F.floor(us / F.lit(SECOND_US)).cast("long")
 
 
-def running_totals(points: DataFrame, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def running_totals(
+    points: DataFrame, measures: Sequence[str], by: Sequence[str] = (), cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Add ``run_<m>``: the total of ``m`` over all rows up to this one by (us, ord).
 
     ``points`` holds ``us`` (microseconds) and a small ``ord`` that orders rows
     of one microsecond; callers aggregate first, so a microsecond has a handful
-    of rows. Levels: rows in a second, seconds in an hour, hours overall.
+    of rows. Rows are summed inside a cell, cells before it are added. A cell is
+    an hour while the fullest hour is within ``cell_rows`` (checked), else a
+    second, with the seconds of an hour as a level between.
     """
     by = list(by)
-    p = points.withColumn("_hour", hour_of(F.col("us"))).withColumn("_sec", second_of(F.col("us")))
-    cell = [*by, "_hour", "_sec"]
+    hour = hour_of(F.col("us"))
+    fullest = points.groupBy(*by, hour.alias("_hour")).count().agg(F.max("count")).first()[0] or 0
+    p = points.withColumn("_hour", hour)
+    levels = ["_hour"]
+    if fullest > cell_rows:
+        p = p.withColumn("_sec", second_of(F.col("us")))
+        levels.append("_sec")
+    cell = [*by, *levels]
     in_cell = W.partitionBy(*cell).orderBy("us", "ord").rowsBetween(W.unboundedPreceding, W.currentRow)
     inner = p.select("*", *[F.sum(m).over(in_cell).alias(f"_in_{m}") for m in measures])
 
-    seconds = p.groupBy(*cell).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    before_sec = W.partitionBy(*by, "_hour").orderBy("_sec").rowsBetween(W.unboundedPreceding, -1)
-    seconds = seconds.select(
-        *cell,
-        *[F.coalesce(F.sum(f"_t_{m}").over(before_sec), F.lit(0)).alias(f"_s_{m}") for m in measures],
-        *[F.col(f"_t_{m}") for m in measures],
-    )
-    hours = seconds.groupBy(*by, "_hour").agg(*[F.sum(f"_t_{m}").alias(f"_t_{m}") for m in measures])
-    before_hour = W.partitionBy(*by).orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)
-    hours = hours.select(
-        *by, "_hour", *[F.coalesce(F.sum(f"_t_{m}").over(before_hour), F.lit(0)).alias(f"_h_{m}") for m in measures]
-    )
-    offsets = seconds.join(hours, [*by, "_hour"]).select(
-        *cell, *[(F.col(f"_s_{m}") + F.col(f"_h_{m}")).alias(f"_off_{m}") for m in measures]
-    )
+    totals = p.groupBy(*cell).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    offsets = _offsets(totals, measures, by, levels)
     keep = points.columns
     return inner.join(offsets, cell).select(
         *keep, *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"run_{m}") for m in measures]
     )
 
 
+def _offsets(totals: DataFrame, measures: Sequence[str], by: list[str], levels: list[str]) -> DataFrame:
+    """Per cell, the total of all cells before it."""
+    outer, last = [*by, *levels[:-1]], levels[-1]
+    before = W.partitionBy(*outer).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
+    ahead = [F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures]
+    if len(levels) == 1:
+        return totals.select(*outer, last, *ahead)
+    upper = totals.groupBy(*outer).agg(*[F.sum(f"_t_{m}").alias(f"_t_{m}") for m in measures])
+    upper = _offsets(upper, measures, by, levels[:-1])
+    upper = upper.select(*outer, *[F.col(f"_off_{m}").alias(f"_up_{m}") for m in measures])
+    return (
+        totals.select(*outer, last, *ahead)
+        .join(upper, outer)
+        .select(*outer, last, *[(F.col(f"_off_{m}") + F.col(f"_up_{m}")).alias(f"_off_{m}") for m in measures])
+    )
+
+
+def range_totals(
+    events: DataFrame, spans: DataFrame, measures: Sequence[str], by: Sequence[str] = (), cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """Per span, the totals of ``measures`` over events with lo <= us <= hi.
+
+    ``events``: by..., us, measures. ``spans``: by..., span_id, lo, hi. Columns
+    ``<m>`` (total inside) and ``<m>_before`` (total before lo) come back. No
+    (span, event) pair is formed: a span asks for two running totals.
+    """
+    by = list(by)
+    zero = [F.lit(0).cast("long").alias(m) for m in measures]
+    data = events.groupBy(*by, "us").agg(*[F.sum(m).cast("long").alias(m) for m in measures])
+    data = data.select(*by, "us", F.lit(1).alias("ord"), F.lit(None).cast(spans.schema["span_id"].dataType).alias("span_id"), *measures)
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("us"), F.lit(0).alias("ord")),
+                             F.struct(F.col("hi").alias("us"), F.lit(2).alias("ord")))).alias("e")
+    asks = spans.select(*by, "span_id", ends).select(*by, "e.us", "e.ord", "span_id", *zero)
+    run = running_totals(data.unionByName(asks), measures, by, cell_rows).where(F.col("ord") != 1)
+    low = [F.max(F.when(F.col("ord") == 0, F.col(f"run_{m}"))).alias(f"{m}_before") for m in measures]
+    high = [F.max(F.when(F.col("ord") == 2, F.col(f"run_{m}"))).alias(f"_hi_{m}") for m in measures]
+    wide = run.groupBy(*by, "span_id").agg(*low, *high)
+    return wide.select(
+        *by, "span_id",
+        *[(F.col(f"_hi_{m}") - F.col(f"{m}_before")).alias(m) for m in measures],
+        *[F.col(f"{m}_before") for m in measures],
+    )
+
+
 def cut_points(df: DataFrame, key: str) -> list[float]:
     """Bucket borders for ``key``: evenly spaced approximate quantiles.
 

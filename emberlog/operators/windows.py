@@ -141,7 +141,7 @@ def frames_by_instant(
         length = max(1, min(block_rows // max(load["fullest"] or 1, 1), load["units"] // (2 * cores)))
         framed = _frames_in_blocks(known, length * reach, reach, minutes)
     else:
-        framed = _frames_by_levels(known, minutes)
+        framed = _frames_by_levels(known, minutes, block_rows)
 
     # rows without a timestamp are peers of each other
     lost = base.where(F.col("us").isNull())
@@ -163,7 +163,7 @@ def _frames_in_blocks(known: DataFrame, block_us: int, reach: int, minutes: Sequ
     return copied.groupBy("block").applyInPandas(_block_frames(block_us, minutes), _frame_schema(minutes))
 
 
-def _frames_by_levels(known: DataFrame, minutes: Sequence[int]) -> DataFrame:
+def _frames_by_levels(known: DataFrame, minutes: Sequence[int], block_rows: int) -> DataFrame:
     """The same frames with every group bounded by a second or an hour."""
     sums = list(SUMS)
     per_node = known.groupBy("us", "node").agg(*[F.sum(c).alias(c) for c in sums])
@@ -215,7 +215,7 @@ def _frames_by_levels(known: DataFrame, minutes: Sequence[int]) -> DataFrame:
     points = changes.withColumn("p", F.explode(F.array_compact(F.array(own, *ask)))).select(
         "p.us", "p.ord", "p.t", "p.w", *[F.when(F.col("p.w") == 0, F.col(m)).otherwise(zero).alias(m) for m in measures]
     )
-    run = running_totals(points, measures).where(F.col("t").isNotNull())
+    run = running_totals(points, measures, cell_rows=block_rows).where(F.col("t").isNotNull())
 
     def at(m, w):
         return F.max(F.when(F.col("w") == w, F.col(f"run_{m}")))
