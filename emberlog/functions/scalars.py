@@ -135,10 +135,13 @@ def percent_text(share: Column) -> Column:
     return F.concat(F.format_string("%.1f", F.bround(share * 100, 1)), F.lit("%"))
 
 
-def incident_id(*parts: Column, prefix: str = "AN-") -> Column:
-    """A short id that stays the same when a task is retried."""
+def incident_id(*parts: Column, prefix: str = "AN-", digits: int = 8) -> Column:
+    """An id that stays the same when a task is retried.
+
+    Eight digits are for display; keys that must be unique at scale take 32.
+    """
     text = F.concat_ws("|", *[p.cast("string") for p in parts])
-    return F.concat(F.lit(prefix), F.upper(F.substring(F.sha2(text, 256), 1, 8)))
+    return F.concat(F.lit(prefix), F.upper(F.substring(F.sha2(text, 256), 1, digits)))
 
 
 def export_row(df: DataFrame) -> DataFrame:

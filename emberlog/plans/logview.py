@@ -10,7 +10,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_columns() -> list:
     """Node, component, level, label, score and truth derived per event."""
     value = F.col("value")
     kind = F.col("event_type")
@@ -26,8 +26,8 @@ def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     score = F.least(value / F.lit(200.0), F.lit(1.0))
     label = F.when((kind == "error") & (value >= 50), "KERNDTLB").otherwise("-")
-    return read_table(spark, sf_dir, "events").select(
-        "event_id",
+    return [
+        F.col("event_id"),
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("R"), (user % 24).cast("string"), F.lit("-M"), (user % 2).cast("string")).alias("node"),
         F.upper(kind).alias("component"),
@@ -37,7 +37,11 @@ def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (label != "-").alias("is_anomaly"),
         score.alias("anomaly_score"),
         (score >= 0.25).alias("is_predicted_anomaly"),
-    )
+    ]
+
+
+def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events").select(*log_columns())
 
 
 # The same view for the SQL oracle.
