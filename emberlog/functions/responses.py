@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.functions.scalars import fixed_text
+
 # The prompt, with its fields in order.
 PROMPT = """\
 Eres un ingeniero experto en operaciones IT analizando logs de sistema.
@@ -20,7 +22,7 @@ Contexto de los últimos 5 minutos:
 - Mensajes representativos:
 %s
 
-Anomaly score: %.4f
+Anomaly score: %s
 
 Proporciona un análisis estructurado con exactamente este formato JSON:
 {
@@ -53,7 +55,7 @@ ABSENT_KEY = {"resumen": "", "severidad": "UNKNOWN", "causa_probable": "", "acci
 
 
 def render_prompt(score: Column) -> Column:
-    return F.format_string(PROMPT, *[F.col(c).cast("string") for c in PROMPT_FIELDS], score.cast("double"))
+    return F.format_string(PROMPT, *[F.col(c).cast("string") for c in PROMPT_FIELDS], fixed_text(score, 4))
 
 
 def _clean(text: Column) -> Column:

@@ -130,9 +130,36 @@ def weekday_name(ts: Column) -> Column:
     return F.date_format(ts, "EEEE")
 
 
+def round_binary(x: Column, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as Python's ``round`` does.
+
+    Spark rounds the shortest decimal text of a double, which turns 0.39135
+    (really 0.391349..) into 0.3914. A scaled value that lands on .5 is decided
+    by the sign of the product's rounding error (Dekker's two-product).
+    """
+    x = x.cast("double")
+    scale = float(10**digits)
+    half = F.lit(134217729.0)  # 2^27 + 1 splits a double in two
+    sh = 134217729.0 * scale - (134217729.0 * scale - scale)
+    sl = scale - sh
+    xh = half * x - (half * x - x)
+    xl = x - xh
+    p = x * F.lit(scale)
+    err = ((xh * F.lit(sh) - p) + xh * F.lit(sl) + xl * F.lit(sh)) + xl * F.lit(sl)
+    low = F.floor(p).cast("double")
+    part = p - low
+    up = (part > 0.5) | ((part == 0.5) & ((err > 0) | ((err == 0) & (low % 2 != 0))))
+    return (low + F.when(up, 1.0).otherwise(0.0)) / F.lit(scale)
+
+
+def fixed_text(x: Column, digits: int) -> Column:
+    """``%.<digits>f`` of the exact binary value."""
+    return F.format_string(f"%.{digits}f", round_binary(x, digits))
+
+
 def percent_text(share: Column) -> Column:
-    """``12.3%``, ties to even."""
-    return F.concat(F.format_string("%.1f", F.bround(share * 100, 1)), F.lit("%"))
+    """``12.3%``."""
+    return F.concat(fixed_text(share * 100, 1), F.lit("%"))
 
 
 def incident_id(*parts: Column, prefix: str = "AN-", digits: int = 8) -> Column:
@@ -147,16 +174,16 @@ def incident_id(*parts: Column, prefix: str = "AN-", digits: int = 8) -> Column:
 def export_row(df: DataFrame) -> DataFrame:
     """Event as shown outside: text timestamp, score to 4 places."""
     return df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).withColumn(
-        "anomaly_score", F.round("anomaly_score", 4)
+        "anomaly_score", round_binary(F.col("anomaly_score"), 4)
     )
 
 
 def context_prefix(node: Column, score: Column, ts: Column, message: Column) -> Column:
     """A chat message led by the incident it is about."""
     lead = F.format_string(
-        "[Contexto — nodo: %s, score: %.3f, timestamp: %s]\n\n",
+        "[Contexto — nodo: %s, score: %s, timestamp: %s]\n\n",
         F.coalesce(node, F.lit("N/A")),
-        F.coalesce(score.cast("double"), F.lit(0.0)),
+        fixed_text(F.coalesce(score.cast("double"), F.lit(0.0)), 3),
         F.coalesce(ts.cast("string"), F.lit("N/A")),
     )
     empty = node.isNull() & score.isNull() & ts.isNull()

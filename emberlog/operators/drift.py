@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.functions.scalars import round_binary
 from emberlog.operators.prefix import ordered_totals
 
 # Recommendation texts and the scores where they change.
@@ -72,13 +73,13 @@ def drift_report(ks: DataFrame, threshold: float = 0.05) -> DataFrame:
     agg = ks.agg(
         F.avg(hit.cast("double")).alias("_share"),
         F.array_sort(F.collect_list(F.when(hit, F.col("feature")))).alias("features_drifted"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", F.round("p_value", 6).alias("p"))))).alias("feature_scores"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", round_binary(F.col("p_value"), 6).alias("p"))))).alias("feature_scores"),
         F.count("*").alias("_n"),
     )
     share = F.coalesce(F.col("_share"), F.lit(0.0))
     detected = (share > 0) & (F.size("features_drifted") > 0)
     return agg.select(
-        F.round(share, 4).alias("drift_score"), detected.alias("drift_detected"), "features_drifted", "feature_scores",
+        round_binary(share, 4).alias("drift_score"), detected.alias("drift_detected"), "features_drifted", "feature_scores",
         F.greatest("_n", F.lit(1)).alias("n_features_total"), recommendation(share, detected).alias("recommendation"),
     )
 

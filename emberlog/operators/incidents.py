@@ -102,7 +102,7 @@ def build_contexts(
         F.coalesce("warning_count", F.lit(0)).alias("warning_count"),
         F.coalesce("fatal_count", F.lit(0)).alias("fatal_count"),
         F.coalesce("components", F.lit("")).alias("components"),
-        F.when(empty, 0.0).otherwise(F.round(F.col("sev") / n, 2)).alias("avg_severity"),
+        F.when(empty, 0.0).otherwise(S.round_binary(F.col("sev") / n, 2)).alias("avg_severity"),
         F.coalesce("sample_messages", F.lit("")).alias("sample_messages"),
         "anomaly_score",
     )

@@ -353,8 +353,8 @@ msg AS (SELECT anomaly_id, string_agg('  - ' || content, chr(10) ORDER BY rn) AS
         SELECT anomaly_id, content, row_number() OVER (PARTITION BY anomaly_id ORDER BY timestamp, event_id) AS rn FROM pairs WHERE content IS NOT NULL)
         WHERE rn <= 5 GROUP BY 1),
 ctx AS (SELECT i.anomaly_id, i.node, {ts_sql('i.t')} AS timestamp, CAST(n AS BIGINT) AS total_events, CAST(e AS BIGINT) AS error_count,
-        printf('%.1f%%', round_even(100.0 * e / n, 1)) AS error_rate, CAST(w AS BIGINT) AS warning_count, CAST(f AS BIGINT) AS fatal_count,
-        components, round(s, 2) AS avg_severity, messages AS sample_messages, anomaly_score
+        printf('%.1f%%', (e / n) * 100.0) AS error_rate, CAST(w AS BIGINT) AS warning_count, CAST(f AS BIGINT) AS fatal_count,
+        components, CAST(printf('%.2f', s) AS DOUBLE) AS avg_severity, messages AS sample_messages, anomaly_score
         FROM inc i JOIN tot USING (anomaly_id) JOIN comp USING (anomaly_id) JOIN msg USING (anomaly_id))
 """
 
@@ -403,11 +403,11 @@ def p22(spark, d):
     return parse_answers(answer_texts(log_table(spark, d))).drop("response")
 
 
-@query("p23_formats", """SELECT event_id, printf('%.1f%%', round_even(100.0 * severity_score / 8, 1)) AS share, round(anomaly_score, 4) AS score4,
-round(anomaly_score, 2) AS score2 FROM logs""")
+@query("p23_formats", """SELECT event_id, printf('%.1f%%', 100.0 * (severity_score / 8)) AS share, CAST(printf('%.4f', anomaly_score) AS DOUBLE) AS score4,
+CAST(printf('%.2f', anomaly_score) AS DOUBLE) AS score2 FROM logs""")
 def p23(spark, d):
     return log_table(spark, d).select("event_id", S.percent_text(F.col("severity_score") / 8).alias("share"),
-                                      F.round("anomaly_score", 4).alias("score4"), F.round("anomaly_score", 2).alias("score2"))
+                                      S.round_binary(F.col("anomaly_score"), 4).alias("score4"), S.round_binary(F.col("anomaly_score"), 2).alias("score2"))
 
 
 @query("p24_incident_id", "SELECT event_id, 'AN-' || upper(substr(sha256(CAST(event_id AS VARCHAR) || '|' || node), 1, 8)) AS anomaly_id FROM logs")
@@ -416,7 +416,7 @@ def p24(spark, d):
 
 
 @query("p25_export_row", """SELECT event_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, node, level, component, content, is_anomaly,
-round(anomaly_score, 4) AS anomaly_score FROM logs""")
+CAST(printf('%.4f', anomaly_score) AS DOUBLE) AS anomaly_score FROM logs""")
 def p25(spark, d):
     return S.export_row(log_table(spark, d)).select("event_id", "timestamp", "node", "level", "component", "content", "is_anomaly", "anomaly_score")
 
@@ -434,7 +434,6 @@ def p26(spark, d):
  || ', timestamp: ' || {ts_sql()} || ']' || chr(10) || chr(10) || content AS message FROM logs""")
 def p27(spark, d):
     node = F.when(F.col("event_id") % 3 != 0, F.col("node"))
-    # the score is rounded half-even first, like the exact binary value would print
     return log_table(spark, d).select(
         "event_id", S.context_prefix(node, F.col("anomaly_score"), ts_text(), F.col("content")).alias("message"))
 

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.functions.scalars import round_binary
+
 
 def save_table(df: DataFrame, path: str, by_date: str | None = None) -> None:
     """Overwrite a table; ``by_date`` adds a ``day`` partition from that column."""
@@ -54,7 +56,7 @@ def drift_record(report: DataFrame, run_ts) -> DataFrame:
     names = F.array_join("features_drifted", ",")
     return report.select(
         run_ts.alias("run_ts"),
-        F.round("drift_score", 4).alias("drift_score"),
+        round_binary(F.col("drift_score"), 4).alias("drift_score"),
         F.size("features_drifted").alias("n_features_drifted"),
         F.when(names == "", "none").otherwise(names).alias("features_drifted"),
     )
