@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import scalars as S
 from emberlog.operators.prefix import MINUTE_US, epoch_us, hour_of, running_totals, second_of
+from emberlog.session import spread
 
 WINDOW_MINUTES = (1, 5, 15)
 BLOCK_ROWS = 2_000_000
@@ -160,7 +161,7 @@ def _frames_in_blocks(known: DataFrame, block_us: int, reach: int, minutes: Sequ
     here = F.floor(F.col("us") / F.lit(block_us)).cast("long")
     later = F.floor((F.col("us") + F.lit(reach)) / F.lit(block_us)).cast("long")
     copied = per_node.withColumn("block", F.explode(F.sequence(here, later)))
-    return copied.groupBy("block").applyInPandas(_block_frames(block_us, minutes), _frame_schema(minutes))
+    return spread(copied, "block").groupBy("block").applyInPandas(_block_frames(block_us, minutes), _frame_schema(minutes))
 
 
 def _frames_by_levels(known: DataFrame, minutes: Sequence[int], block_rows: int) -> DataFrame:

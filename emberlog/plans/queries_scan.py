@@ -342,7 +342,7 @@ def p20(spark, d):
 
 CONTEXT_COLUMNS = ["anomaly_id", "node", "timestamp", "total_events", "error_count", "error_rate", "warning_count", "fatal_count",
                    "components", "avg_severity", "sample_messages", "anomaly_score"]
-CONTEXT_SQL = f"""WITH inc AS (SELECT event_id AS anomaly_id, timestamp AS t, node, anomaly_score FROM logs WHERE is_anomaly),
+CONTEXT_OF = f"""WITH inc AS (SELECT event_id AS anomaly_id, timestamp AS t, node, anomaly_score FROM logs {{which}}),
 pairs AS (SELECT i.anomaly_id, e.* FROM inc i JOIN logs e ON e.timestamp BETWEEN i.t - INTERVAL '5 minutes' AND i.t + INTERVAL '5 minutes'),
 tot AS (SELECT anomaly_id, count(*) AS n, sum(CAST(severity_score >= 2 AS INTEGER)) AS e, sum(CAST(severity_score = 1 AS INTEGER)) AS w,
         sum(CAST(severity_score >= 3 AS INTEGER)) AS f, avg(severity_score) AS s FROM pairs GROUP BY 1),
@@ -357,6 +357,7 @@ ctx AS (SELECT i.anomaly_id, i.node, {ts_sql('i.t')} AS timestamp, CAST(n AS BIG
         components, CAST(printf('%.2f', s) AS DOUBLE) AS avg_severity, messages AS sample_messages, anomaly_score
         FROM inc i JOIN tot USING (anomaly_id) JOIN comp USING (anomaly_id) JOIN msg USING (anomaly_id))
 """
+CONTEXT_SQL = CONTEXT_OF.format(which="WHERE is_anomaly")
 
 
 def contexts(spark: SparkSession, d: str) -> DataFrame:

@@ -126,12 +126,12 @@ def j1(spark, d):
 
 
 @query("j2_label_join", """WITH lab AS (SELECT timestamp, node, CASE WHEN severidad IN ('CRITICAL', 'HIGH') THEN 1 ELSE 0 END AS llm_label FROM logs WHERE is_predicted_anomaly
- UNION ALL SELECT timestamp, node, 0 FROM logs WHERE event_id % 9 = 0)
+ UNION ALL SELECT timestamp, node, 0 FROM logs WHERE is_anomaly)
 SELECT event_id, llm_label FROM logs JOIN lab USING (timestamp, node)""")
 def j2(spark, d):
     logs = log_table(spark, d)
     lab = logs.where("is_predicted_anomaly").select("timestamp", "node", S.weak_label(F.col("severidad")).alias("llm_label"))
-    twice = logs.where(F.col("event_id") % 9 == 0).select("timestamp", "node", F.lit(0).alias("llm_label"))
+    twice = logs.where("is_anomaly").select("timestamp", "node", F.lit(0).alias("llm_label"))
     return J.join_labels(logs.select("event_id", "timestamp", "node"), lab.unionByName(twice)).select("event_id", "llm_label")
 
 
@@ -186,7 +186,7 @@ SCALE_SQL = """WITH q AS (SELECT median(anomaly_score) AS m, quantile_cont(anoma
 """
 
 
-@query("j8_column_concat", SCALE_SQL + f"""SELECT event_id, {ts_sql()} AS ts, node, is_anomaly, round((anomaly_score - m) / (CASE WHEN iqr = 0 THEN 1 ELSE iqr END), 4) AS anomaly_score
+@query("j8_column_concat", SCALE_SQL + f"""SELECT event_id, {ts_sql()} AS ts, node, is_anomaly, round(CAST(CAST((anomaly_score - m) / (CASE WHEN iqr = 0 THEN 1 ELSE iqr END) AS FLOAT) AS DOUBLE), 4) AS anomaly_score
 FROM logs, q""")
 def j8(spark, d):
     logs = log_table(spark, d)
@@ -231,19 +231,10 @@ def a5(spark, d):
     return A.class_balance(log_table(spark, d)).withColumn("ratio", F.round("ratio", 6))
 
 
-@query("a6_hourly_series", f"""WITH h AS (SELECT date_trunc('hour', timestamp)::TIMESTAMP AS hour, count(*) FILTER (is_predicted_anomaly) AS a, count(*) AS t FROM logs WHERE event_id % 10 < 3 GROUP BY 1),
+@query("a6_hourly_series", f"""WITH h AS (SELECT date_trunc('hour', timestamp)::TIMESTAMP AS hour, count(*) FILTER (is_anomaly) AS a, count(*) AS t FROM logs GROUP BY 1),
 sp AS (SELECT unnest(generate_series((SELECT min(hour) FROM h), (SELECT max(hour) FROM h), INTERVAL 1 HOUR)) AS hour)
 SELECT {ts_sql('sp.hour')} AS hour, coalesce(a, 0) AS anomalias, coalesce(t, 0) AS total, coalesce(t, 0) - coalesce(a, 0) AS normales FROM sp LEFT JOIN h USING (hour)""")
 def a6(spark, d):
-    # three user groups of ten leave empty hours to fill
-    some = log_table(spark, d).where(F.col("event_id") % 10 < 3)
-    return A.hourly_series(some).withColumn("hour", ts_text("hour"))
-
-
-@query("a6_hourly_series_all", f"""WITH h AS (SELECT date_trunc('hour', timestamp)::TIMESTAMP AS hour, count(*) FILTER (is_anomaly) AS a, count(*) AS t FROM logs GROUP BY 1),
-sp AS (SELECT unnest(generate_series((SELECT min(hour) FROM h), (SELECT max(hour) FROM h), INTERVAL 1 HOUR)) AS hour)
-SELECT {ts_sql('sp.hour')} AS hour, coalesce(a, 0) AS anomalias, coalesce(t, 0) AS total, coalesce(t, 0) - coalesce(a, 0) AS normales FROM sp LEFT JOIN h USING (hour)""")
-def a6_all(spark, d):
     return A.hourly_series(log_table(spark, d), "is_anomaly").withColumn("hour", ts_text("hour"))
 
 
@@ -541,7 +532,7 @@ def u3(spark, d):
 # ---------------------------------------------------------------- scaling and drift
 
 
-@query("m1_robust_scaling", SCALE_SQL + """SELECT event_id, round((anomaly_score - m) / (CASE WHEN iqr = 0 THEN 1 ELSE iqr END), 4) AS anomaly_score,
+@query("m1_robust_scaling", SCALE_SQL + """SELECT event_id, round(CAST(CAST((anomaly_score - m) / (CASE WHEN iqr = 0 THEN 1 ELSE iqr END) AS FLOAT) AS DOUBLE), 4) AS anomaly_score,
 round((severity_score - sm) / (CASE WHEN siqr = 0 THEN 1 ELSE siqr END), 4) AS severity_score FROM logs, q""")
 def m1(spark, d):
     logs = log_table(spark, d)

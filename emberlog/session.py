@@ -45,6 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df, *keys):
+    """Hash rows by key over all shuffle partitions.
+
+    For Python work that is heavy per byte: the runtime would otherwise merge
+    small partitions into a few tasks and leave cores idle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def materialize(df, name: str):
     """Cut a long lineage by writing to the shared folder and reading back."""
     path = scratch_path(df.sparkSession, name)

@@ -88,6 +88,8 @@ def rolling_stream(
 ) -> DataFrame:
     """Sliding-window features; rows later than the watermark are dropped."""
     sev = F.col("severity_score")
+    # event time must carry a zone; the session runs in UTC
+    stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return (
         stream.withWatermark(ts, late)
         .groupBy(F.window(ts, size, slide))
