@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from emberlog.functions import filters
 from emberlog.functions import scalars as S
 from emberlog.functions.responses import ANSWER_FIELDS, NO_CLIENT, parse_answers, render_prompt
 from emberlog.operators.aggregates import top_nodes, value_counts
-from emberlog.operators.prefix import MINUTE_US, epoch_us, range_totals, running_totals
+from emberlog.operators.prefix import MINUTE_US, epoch_us, floor_div, needs_fine_cells, range_totals, running_totals
 from emberlog.operators.ranking import latest, percent_rank_average, top_k, top_k_per_group
 
 SAMPLE_MESSAGES = 5
@@ -21,23 +22,42 @@ TOP_COMPONENTS = 5
 
 
 def _minutes_touched(lo: Column, hi: Column) -> Column:
-    return F.explode(F.sequence(F.floor(lo / F.lit(MINUTE_US)).cast("long"), F.floor(hi / F.lit(MINUTE_US)).cast("long")))
+    return F.explode(F.sequence(floor_div(lo, MINUTE_US), floor_div(hi, MINUTE_US)))
 
 
-def _components_near(spans: DataFrame, rows: DataFrame) -> DataFrame:
-    """The five most frequent components of each span, as one text."""
-    minute = F.floor(F.col("us") / F.lit(MINUTE_US)).cast("long")
-    present = rows.where(F.col("component").isNotNull()).select("component", minute.alias("_m")).distinct()
+MEASURES = ("total_events", "error_count", "warning_count", "fatal_count", "sev")
+
+
+def _totals_near(spans: DataFrame, rows: DataFrame, fine: bool) -> DataFrame:
+    """Totals of each span and its five most frequent components, as one text.
+
+    Both come from totals per (span, component), asked only for components
+    present in a minute the span touches.
+    """
+    minute = floor_div(F.col("us"), MINUTE_US)
+    # a row without component still counts in the totals
+    rows = rows.select("us", F.coalesce("component", F.lit("")).alias("component"), F.col("severity_score").alias("sev"))
+    present = rows.select("component", minute.alias("_m")).distinct()
     asked = spans.withColumn("_m", _minutes_touched(F.col("lo"), F.col("hi"))).join(present, "_m")
     asked = asked.select("component", "span_id", "lo", "hi").distinct()
-    counted = rows.where(F.col("component").isNotNull()).select("component", "us", F.lit(1).alias("n"))
-    totals = range_totals(counted, asked, ["n"], ["component"]).where(F.col("n") > 0)
-    best = top_k_per_group(totals, ["span_id"], [F.col("n").desc(), F.col("component")], TOP_COMPONENTS)
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "component")))
-    return best.groupBy("span_id").agg(F.array_join(F.transform(ordered, lambda x: x["component"]), ", ").alias("components"))
+    sev = F.col("sev")
+    counted = rows.select(
+        "component", "us", F.lit(1).alias("total_events"), S.is_error(sev).alias("error_count"),
+        S.is_warning(sev).alias("warning_count"), S.is_fatal(sev).alias("fatal_count"), sev.cast("long").alias("sev"),
+    )
+    found = range_totals(counted, asked, MEASURES, ["component"], fine).where(F.col("total_events") > 0)
+    w = W.partitionBy("span_id").orderBy(F.col("component") == "", F.col("total_events").desc(), "component")
+    shown = (F.col("_rn") <= TOP_COMPONENTS) & (F.col("component") != "")
+    best = F.array_sort(F.collect_list(F.when(shown, F.struct("_rn", "component"))))
+    return (
+        found.withColumn("_rn", F.row_number().over(w))
+        .groupBy("span_id")
+        .agg(*[F.sum(m).alias(m) for m in MEASURES],
+             F.array_join(F.transform(best, lambda x: x["component"]), ", ").alias("components"))
+    )
 
 
-def _first_messages(spans: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+def _first_messages(spans: DataFrame, rows: DataFrame, k: int, fine: bool) -> DataFrame:
     """The first k messages of each span by (time, id), as one text.
 
     At most k messages of an instant can matter, so the others are dropped
@@ -47,10 +67,10 @@ def _first_messages(spans: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     instants = kept.groupBy("us").agg(
         F.count("*").alias("m"), F.array_sort(F.collect_list(F.struct("event_id", "content"))).alias("list")
     )
-    run = running_totals(instants.withColumn("ord", F.lit(0)), ["m"])
+    run = running_totals(instants.withColumn("ord", F.lit(0)), ["m"], fine=fine)
     placed = run.select((F.col("run_m") - F.col("m")).alias("_at"), F.posexplode("list").alias("_i", "e"))
     placed = placed.select((F.col("_at") + F.col("_i")).alias("pos"), F.col("e.content").alias("content"))
-    ends = range_totals(instants.select("us", "m"), spans, ["m"]).where(F.col("m") > 0)
+    ends = range_totals(instants.select("us", "m"), spans, ["m"], fine=fine).where(F.col("m") > 0)
     wanted = ends.select(
         "span_id",
         F.explode(F.sequence(F.col("m_before"), F.col("m_before") + F.least("m", F.lit(k)) - 1)).alias("pos"),
@@ -80,20 +100,13 @@ def build_contexts(
     rows = events.where(F.col("timestamp").isNotNull()).select(
         epoch_us(F.col("timestamp")).alias("us"), "event_id", "severity_score", "component", "content"
     )
-    sev = F.col("severity_score")
-    counted = rows.select(
-        "us", F.lit(1).alias("total_events"), S.is_error(sev).alias("error_count"), S.is_warning(sev).alias("warning_count"),
-        S.is_fatal(sev).alias("fatal_count"), sev.cast("long").alias("sev"),
-    )
-    names = ["total_events", "error_count", "warning_count", "fatal_count", "sev"]
-    totals = range_totals(counted, spans, names).select("span_id", *names)
+    fine = needs_fine_cells(rows.select("us").unionByName(spans.select(F.col("lo").alias("us"))))
+    totals = _totals_near(spans, rows, fine)
     n = F.col("total_events")
     empty = F.coalesce(n, F.lit(0)) == 0
-    out = (
-        incidents.join(totals, F.col("anomaly_id") == F.col("span_id"), "left").drop("span_id")
-        .join(_components_near(spans, rows).withColumnRenamed("span_id", "anomaly_id"), "anomaly_id", "left")
-        .join(_first_messages(spans, rows, n_messages).withColumnRenamed("span_id", "anomaly_id"), "anomaly_id", "left")
-    )
+    messages = _first_messages(spans, rows, n_messages, fine)
+    about = totals.join(messages, "span_id", "left").withColumnRenamed("span_id", "anomaly_id")
+    out = incidents.join(about, "anomaly_id", "left")
     return out.select(
         "anomaly_id", "node", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
         F.coalesce(n, F.lit(0)).alias("total_events"),

@@ -26,31 +26,43 @@ def epoch_us(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def floor_div(n: Column, width: int) -> Column:
+    """Whole-number division rounding down, exact for any 64-bit value."""
+    w = F.lit(width).cast("long")
+    return F.call_function("div", n - F.pmod(n, w), w)
+
+
 def hour_of(us: Column) -> Column:
-    return F.floor(us / F.lit(HOUR_US)).cast("long")
+    return floor_div(us, HOUR_US)
 
 
 def second_of(us: Column) -> Column:
-    return F.floor(us / F.lit(SECOND_US)).cast("long")
+    return floor_div(us, SECOND_US)
+
+
+def needs_fine_cells(times: DataFrame, by: Sequence[str] = (), cell_rows: int = CELL_ROWS) -> bool:
+    """Whether some hour of ``us`` values holds more rows than one task should get."""
+    counts = times.groupBy(*by, hour_of(F.col("us")).alias("_hour")).count()
+    return (counts.agg(F.max("count")).first()[0] or 0) > cell_rows
 
 
 def running_totals(
-    points: DataFrame, measures: Sequence[str], by: Sequence[str] = (), cell_rows: int = CELL_ROWS
+    points: DataFrame, measures: Sequence[str], by: Sequence[str] = (), fine: bool | None = None
 ) -> DataFrame:
     """Add ``run_<m>``: the total of ``m`` over all rows up to this one by (us, ord).
 
     ``points`` holds ``us`` (microseconds) and a small ``ord`` that orders rows
     of one microsecond; callers aggregate first, so a microsecond has a handful
     of rows. Rows are summed inside a cell, cells before it are added. A cell is
-    an hour while the fullest hour is within ``cell_rows`` (checked), else a
-    second, with the seconds of an hour as a level between.
+    an hour while the fullest hour is small enough (checked here unless the
+    caller has), else a second, with the seconds of an hour as a level between.
     """
     by = list(by)
-    hour = hour_of(F.col("us"))
-    fullest = points.groupBy(*by, hour.alias("_hour")).count().agg(F.max("count")).first()[0] or 0
-    p = points.withColumn("_hour", hour)
+    if fine is None:
+        fine = needs_fine_cells(points, by)
+    p = points.withColumn("_hour", hour_of(F.col("us")))
     levels = ["_hour"]
-    if fullest > cell_rows:
+    if fine:
         p = p.withColumn("_sec", second_of(F.col("us")))
         levels.append("_sec")
     cell = [*by, *levels]
@@ -83,7 +95,7 @@ def _offsets(totals: DataFrame, measures: Sequence[str], by: list[str], levels:
 
 
 def range_totals(
-    events: DataFrame, spans: DataFrame, measures: Sequence[str], by: Sequence[str] = (), cell_rows: int = CELL_ROWS
+    events: DataFrame, spans: DataFrame, measures: Sequence[str], by: Sequence[str] = (), fine: bool | None = None
 ) -> DataFrame:
     """Per span, the totals of ``measures`` over events with lo <= us <= hi.
 
@@ -98,7 +110,7 @@ def range_totals(
     ends = F.explode(F.array(F.struct(F.col("lo").alias("us"), F.lit(0).alias("ord")),
                              F.struct(F.col("hi").alias("us"), F.lit(2).alias("ord")))).alias("e")
     asks = spans.select(*by, "span_id", ends).select(*by, "e.us", "e.ord", "span_id", *zero)
-    run = running_totals(data.unionByName(asks), measures, by, cell_rows).where(F.col("ord") != 1)
+    run = running_totals(data.unionByName(asks), measures, by, fine).where(F.col("ord") != 1)
     low = [F.max(F.when(F.col("ord") == 0, F.col(f"run_{m}"))).alias(f"{m}_before") for m in measures]
     high = [F.max(F.when(F.col("ord") == 2, F.col(f"run_{m}"))).alias(f"_hi_{m}") for m in measures]
     wide = run.groupBy(*by, "span_id").agg(*low, *high)

@@ -82,10 +82,10 @@ def with_row_position(df: DataFrame, ts: str = "timestamp", row_id: str = "event
     run = running_totals(instants.withColumn("ord", F.lit(0)), ["n"]).select(
         F.col("us").alias("_us"), (F.col("run_n") - F.col("n")).alias("_before"), F.col("n").alias("_n"), "_lo", "_hi"
     )
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(4096)))
-    placed = rows.join(run, "_us").withColumn(
-        "_band", F.when(F.col("_n") == 1, 0).otherwise(F.floor((F.col(row_id) - F.col("_lo")) / width)).cast("long")
-    )
+    # leading bits of the id, as many as tell about 4,096 bands apart
+    reach = F.log2(F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1.0)
+    placed = rows.join(run, "_us").withColumn("_shift", F.greatest(F.lit(0), F.ceil(reach).cast("int") - 12))
+    placed = placed.withColumn("_band", F.call_function("shiftright", F.col(row_id), F.col("_shift")))
     single = placed.where(F.col("_n") == 1).withColumn(out, F.col("_before"))
     tied = placed.where(F.col("_n") > 1)
     bands = tied.groupBy("_us", "_band").count()

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from emberlog.operators.prefix import HOUR_US, SECOND_US, epoch_us
+from emberlog.operators.prefix import HOUR_US, SECOND_US, epoch_us, floor_div
 
-FANOUT = 4096
+# twelve bits per step: at most 4,096 counts to look through
+ID_SHIFTS = (52, 40, 28, 16, 4, 0)
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,7 @@ class Cut:
             return time.isNotNull() | (F.col(row_id) <= self.last_id)
         # a literal of the column's own type, so the filter reaches the scan
         mark = F.timestamp_micros(F.lit(self.us)).cast(df.schema[ts].dataType)
-        keep = (time < mark) | ((time == mark) & (F.col(row_id) <= self.last_id))
-        return F.coalesce(keep, F.lit(False))
+        return time.isNotNull() & ((time < mark) | ((time == mark) & (F.col(row_id) <= self.last_id)))
 
 
 def _bucket_with(df: DataFrame, bucket: Column, k: int) -> tuple[int, int, int]:
@@ -45,21 +45,23 @@ def _bucket_with(df: DataFrame, bucket: Column, k: int) -> tuple[int, int, int]:
     return row["b"], row["run"] - row["count"], row["count"]
 
 
-def cut_at(df: DataFrame, k: int, ts: str = "timestamp", row_id: str = "event_id") -> Cut:
+def cut_at(
+    df: DataFrame, k: int, ts: str = "timestamp", row_id: str = "event_id", n_known: int | None = None
+) -> Cut:
     """The k-th row by (time, id), null times last, found by narrowing counts."""
     if k <= 0:
         return Cut(0, None, None, False)
     rows = df.select(epoch_us(F.col(ts)).alias("us"), F.col(ts).alias("t"), F.col(row_id).alias("id"))
     kind = df.schema[ts].dataType
-    known = rows.where(F.col("us").isNotNull())
-    left, us, nulls = k, None, False
-    n_known = known.count()
-    if k > n_known:
-        cur, left, nulls, size = rows.where(F.col("us").isNull()), k - n_known, True, None
+    if n_known is None:
+        n_known = _row_counts(df, ts)[1]
+    left, us, nulls = k, None, k > n_known
+    if nulls:
+        cur, left = rows.where(F.col("us").isNull()), k - n_known
     else:
-        cur = known
+        cur = rows.where(F.col("us").isNotNull())
         for width in (HOUR_US, SECOND_US, 1):
-            b, before, size = _bucket_with(cur, F.floor(F.col("us") / F.lit(width)).cast("long"), left)
+            b, before, _ = _bucket_with(cur, floor_div(F.col("us"), width), left)
             left -= before
             us = b * width
             lo = F.timestamp_micros(F.lit(us)).cast(kind)
@@ -67,26 +69,32 @@ def cut_at(df: DataFrame, k: int, ts: str = "timestamp", row_id: str = "event_id
             cur = cur.where((F.col("t") >= lo) & (F.col("t") < hi))
     ends = cur.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
     lo, hi = ends["lo"], ends["hi"]
-    while lo < hi:
-        width = max(1, -(-(hi - lo + 1) // FANOUT))
-        step = F.floor((F.col("id") - F.lit(lo)) / F.lit(width)).cast("long")
-        b, before, _ = _bucket_with(cur, step, left)
+    # rows of one instant: narrow the id by its leading bits
+    for shift in ID_SHIFTS:
+        if lo >> shift == hi >> shift:
+            continue
+        b, before, _ = _bucket_with(cur, F.shiftright("id", shift), left)
         left -= before
-        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+        lo, hi = max(lo, b << shift), min(hi, (b << shift) + (1 << shift) - 1)
         cur = cur.where(F.col("id").between(lo, hi))
     return Cut(k, us, lo, nulls)
 
 
+def _row_counts(df: DataFrame, ts: str) -> tuple[int, int]:
+    """All rows, and those with a time."""
+    row = df.agg(F.count("*").alias("n"), F.count(ts).alias("known")).first()
+    return row["n"], row["known"]
+
+
+def temporal_slices(df: DataFrame, shares: tuple[float, ...], ts: str = "timestamp", row_id: str = "event_id") -> list[Column]:
+    """Conditions "row lies in the first ``int(n * share)`` rows" for each share."""
+    n, known = _row_counts(df, ts)
+    return [cut_at(df, int(n * s), ts, row_id, known).first_part(df, ts, row_id) for s in shares]
+
+
 def temporal_split(
     df: DataFrame, test_fraction: float = 0.2, ts: str = "timestamp", row_id: str = "event_id"
 ) -> tuple[DataFrame, DataFrame]:
     """First ``int(n * (1 - f))`` rows by time, and the rest. Both are plain filters."""
-    cut = cut_at(df, int(df.count() * (1 - test_fraction)), ts, row_id)
-    first = cut.first_part(df, ts, row_id)
+    first = temporal_slices(df, (1 - test_fraction,), ts, row_id)[0]
     return df.where(first), df.where(~first)
-
-
-def temporal_slices(df: DataFrame, shares: tuple[float, ...], ts: str = "timestamp", row_id: str = "event_id") -> list[Column]:
-    """Conditions "row lies in the first share of the table" for each share."""
-    n = df.count()
-    return [cut_at(df, int(n * s), ts, row_id).first_part(df, ts, row_id) for s in shares]

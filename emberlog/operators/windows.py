@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from emberlog.functions import scalars as S
-from emberlog.operators.prefix import MINUTE_US, epoch_us, hour_of, running_totals, second_of
+from emberlog.operators.prefix import MINUTE_US, epoch_us, floor_div, hour_of, running_totals, second_of
 from emberlog.session import spread
 
 WINDOW_MINUTES = (1, 5, 15)
@@ -134,7 +134,7 @@ def frames_by_instant(
     )
     known = base.where(F.col("us").isNotNull())
     reach = max(minutes) * MINUTE_US
-    units = known.groupBy(F.floor(F.col("us") / F.lit(reach)).alias("unit")).count()
+    units = known.groupBy(floor_div(F.col("us"), reach).alias("unit")).count()
     load = units.agg(F.max("count").alias("fullest"), F.count("*").alias("units")).first()
     if (load["fullest"] or 0) <= block_rows:
         # long blocks copy less; keep enough of them to use every core
@@ -142,7 +142,7 @@ def frames_by_instant(
         length = max(1, min(block_rows // max(load["fullest"] or 1, 1), load["units"] // (2 * cores)))
         framed = _frames_in_blocks(known, length * reach, reach, minutes)
     else:
-        framed = _frames_by_levels(known, minutes, block_rows)
+        framed = _frames_by_levels(known, minutes)
 
     # rows without a timestamp are peers of each other
     lost = base.where(F.col("us").isNull())
@@ -158,13 +158,13 @@ def frames_by_instant(
 def _frames_in_blocks(known: DataFrame, block_us: int, reach: int, minutes: Sequence[int]) -> DataFrame:
     """Each block with a copy of the last stretch of the one before."""
     per_node = known.groupBy("us", "node").agg(*[F.sum(c).alias(c) for c in SUMS])
-    here = F.floor(F.col("us") / F.lit(block_us)).cast("long")
-    later = F.floor((F.col("us") + F.lit(reach)) / F.lit(block_us)).cast("long")
+    here = floor_div(F.col("us"), block_us)
+    later = floor_div(F.col("us") + F.lit(reach), block_us)
     copied = per_node.withColumn("block", F.explode(F.sequence(here, later)))
     return spread(copied, "block").groupBy("block").applyInPandas(_block_frames(block_us, minutes), _frame_schema(minutes))
 
 
-def _frames_by_levels(known: DataFrame, minutes: Sequence[int], block_rows: int) -> DataFrame:
+def _frames_by_levels(known: DataFrame, minutes: Sequence[int]) -> DataFrame:
     """The same frames with every group bounded by a second or an hour."""
     sums = list(SUMS)
     per_node = known.groupBy("us", "node").agg(*[F.sum(c).alias(c) for c in sums])
@@ -216,7 +216,7 @@ def _frames_by_levels(known: DataFrame, minutes: Sequence[int], block_rows: int)
     points = changes.withColumn("p", F.explode(F.array_compact(F.array(own, *ask)))).select(
         "p.us", "p.ord", "p.t", "p.w", *[F.when(F.col("p.w") == 0, F.col(m)).otherwise(zero).alias(m) for m in measures]
     )
-    run = running_totals(points, measures, cell_rows=block_rows).where(F.col("t").isNotNull())
+    run = running_totals(points, measures, fine=True).where(F.col("t").isNotNull())
 
     def at(m, w):
         return F.max(F.when(F.col("w") == w, F.col(f"run_{m}")))

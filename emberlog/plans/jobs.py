@@ -16,7 +16,7 @@ from emberlog.operators.detector import AnomalyDetector
 from emberlog.operators.evaluation import evaluate
 from emberlog.operators.features import FeatureModel
 from emberlog.operators.joins import context_chunks, join_labels
-from emberlog.operators.split import cut_at, temporal_split
+from emberlog.operators.split import temporal_slices, temporal_split
 from emberlog.session import materialize
 
 ID_COLUMNS = ("timestamp", "node", "is_anomaly", "event_id")
@@ -100,6 +100,6 @@ def drift_health(features: DataFrame | None, spark=None, share: float = 0.8, thr
     """Drift of the last part of the features against the first; no features, no drift."""
     if features is None:
         return drift.no_features_report(spark)
-    cut = cut_at(features, int(features.count() * share))
-    ks = drift.ks_per_feature(features, feature_names(features), ~cut.first_part(features))
+    reference = temporal_slices(features, (share,))[0]
+    ks = drift.ks_per_feature(features, feature_names(features), ~reference)
     return drift.drift_report(ks, threshold)
