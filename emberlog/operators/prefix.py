@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from emberlog.session import materialize
+
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 HOUR_US = 60 * MINUTE_US
@@ -149,10 +151,11 @@ def ordered_totals(counts: DataFrame, key: str, measures: Sequence[str], by: Seq
 
     ``counts`` has one row per (by, key), so a hot value is a single row. The
     key range is cut into balanced buckets; windows run inside a bucket, and
-    the bucket totals (at most 4,096 per group) give the offsets.
+    the bucket totals (at most 4,096 per group) give the offsets. The counts are
+    written once, since the borders, the totals and the windows all read them.
     """
     by = list(by)
-    counts = counts.where(F.col(key).isNotNull())
+    counts = materialize(counts.where(F.col(key).isNotNull()), "counts")
     p = with_bucket(counts, key, cut_points(counts, key))
     cell = [*by, "_bucket"]
     in_cell = W.partitionBy(*cell).orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -12,8 +12,8 @@ from emberlog.functions import scalars as S
 LINE_FIELDS = (
     "label", "timestamp_int", "date", "node", "datetime_str", "node_repeat", "type", "component", "level", "content",
 )
-# Unicode white space plus the four ASCII separators.
-BLANKS = r"(?U)[\s\x1c-\x1f]+"
+# The characters that separate fields (Unicode white space and the ASCII separators).
+BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,15 +45,21 @@ def split_line(value: Column) -> Column:
     return F.split(F.regexp_replace(value, "^" + BLANKS, ""), BLANKS, 10)
 
 
+def enough_fields(fields: Column) -> Column:
+    """At least nine; an empty ninth is only the blanks behind the eighth."""
+    return (F.size(fields) == 10) | ((F.size(fields) == 9) & (F.element_at(fields, -1) != ""))
+
+
 def valid_line(value: Column) -> Column:
     """Non-blank with at least nine fields."""
-    trimmed = F.regexp_replace(value, f"^{BLANKS}|{BLANKS}$", "")
-    return F.size(F.split(trimmed, BLANKS, 10)) >= 9
+    return enough_fields(split_line(value))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Typed log table; lines with fewer than nine fields are dropped."""
-    fields = lines.where(valid_line(F.col("value"))).select(split_line(F.col("value")).alias("f"))
+    # one row out per complete line: split once, where a filter in front would split again
+    complete = F.filter(F.array(split_line(F.col("value"))), enough_fields)
+    fields = lines.select(F.explode(complete).alias("f"))
     named = fields.select(*[F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(LINE_FIELDS)])
     typed = named.select(
         "label",
