@@ -56,13 +56,17 @@ def valid_line(value: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Typed log table; lines with fewer than nine fields are dropped."""
+    """Typed log table; lines with fewer than nine fields are dropped.
+
+    ``event_id`` is the line's place in the scan: the same when a task is
+    repeated or the same files are read again, increasing within a file split.
+    """
     # one row out per complete line: split once, where a filter in front would split again
     complete = F.filter(F.array(split_line(F.col("value"))), enough_fields)
-    fields = lines.select(F.explode(complete).alias("f"))
-    named = fields.select(*[F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(LINE_FIELDS)])
+    fields = lines.select(F.col("_seq").alias("event_id"), F.explode(complete).alias("f"))
+    named = fields.select("event_id", *[F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(LINE_FIELDS)])
     typed = named.select(
-        "label",
+        "event_id", "label",
         S.safe_long(F.col("timestamp_int")).alias("timestamp_int"),
         "date", "node", "type", "component", "level", "content",
         S.label_flag(F.col("label")).alias("is_anomaly"),
