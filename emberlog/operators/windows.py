@@ -6,9 +6,10 @@ distinct nodes comes from the moments a node enters and leaves the frame. A
 plain Spark range frame would re-add the whole frame at each row.
 
 Two plans give the same numbers. Where no 15 minutes hold more than
-``BLOCK_ROWS`` rows (checked), a block of time is one task's work together with
-the last stretch of the block before it. Where a burst makes a block larger, running totals by second,
-hour and horizon keep every group bounded at the price of more stages.
+``BLOCK_ROWS`` pairs of node and instant (checked), a block of time is one
+task's work together with the last stretch of the block before it. Where a
+burst makes a block larger, running totals by second, hour and horizon keep
+every group bounded at the price of more stages.
 """
 
 from __future__ import annotations
@@ -77,16 +78,17 @@ def _block_frames(block_us: int, minutes: Sequence[int]):
     """Function for one block's rows and those of the block before it."""
 
     def frames(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("us", kind="stable")
-        us = pdf["us"].to_numpy()
-        at, first = np.unique(us, return_index=True)
-        ends = np.append(first[1:], len(us))
+        order = np.argsort(pdf["us"].to_numpy(), kind="stable")
+        us = pdf["us"].to_numpy()[order]
+        node = pd.factorize(pdf["node"])[0][order]  # -1 is a row without node
+        first = np.flatnonzero(np.append(True, us[1:] != us[:-1]))
+        at, ends = us[first], np.append(first[1:], len(us))
         own = at // block_us == pdf["block"].iloc[0]
-        totals = {c: np.concatenate([[0], np.cumsum(pdf[c].to_numpy())]) for c in SUMS}
+        totals = {c: np.concatenate([[0], np.cumsum(pdf[c].to_numpy()[order])]) for c in SUMS}
 
-        named = pdf.loc[pdf["node"].notna(), ["node", "us"]].sort_values(["node", "us"])
-        code = pd.factorize(named["node"])[0]
-        seen = named["us"].to_numpy()
+        arrivals, code = us[node >= 0], node[node >= 0]
+        by_node = np.argsort(code, kind="stable")
+        seen, code = arrivals[by_node], code[by_node]
         same = np.append(code[1:] == code[:-1], False) if len(seen) else np.zeros(0, bool)
         gap = np.where(same, np.append(seen[1:], 0) - seen, np.iinfo(np.int64).max)
         out = {"us": at[own]}
@@ -97,7 +99,7 @@ def _block_frames(block_us: int, minutes: Sequence[int]):
             part = {c: totals[c][stop] - totals[c][start] for c in SUMS}
             # a node counts from its row until its next row or the frame's end
             until = np.sort(np.where(gap <= width, seen + gap * (gap <= width), seen + width + 1))
-            came = np.searchsorted(np.sort(seen), at[own], side="right")
+            came = np.searchsorted(arrivals, at[own], side="right")
             left = np.searchsorted(until, at[own], side="right")
             out[f"total_count_{w}min"] = part["n"]
             out[f"error_count_{w}min"] = part["err"]
@@ -134,12 +136,15 @@ def frames_by_instant(
     )
     known = base.where(F.col("us").isNotNull())
     reach = max(minutes) * MINUTE_US
-    units = known.groupBy(floor_div(F.col("us"), reach).alias("unit")).count()
-    load = units.agg(F.max("count").alias("fullest"), F.count("*").alias("units")).first()
-    if (load["fullest"] or 0) <= block_rows:
+    # rows of one node at one instant are summed first, so pairs are what a task gets
+    pairs = F.approx_count_distinct(F.struct("us", "node"), 0.05)
+    units = known.groupBy(floor_div(F.col("us"), reach).alias("unit")).agg(pairs.alias("pairs"))
+    load = units.agg(F.max("pairs").alias("fullest"), F.count("*").alias("units")).first()
+    fullest = int(1.2 * (load["fullest"] or 0))
+    if fullest <= block_rows:
         # long blocks copy less; keep enough of them to use every core
         cores = events.sparkSession.sparkContext.defaultParallelism
-        length = max(1, min(block_rows // max(load["fullest"] or 1, 1), load["units"] // (2 * cores)))
+        length = max(1, min(block_rows // max(fullest, 1), load["units"] // (2 * cores)))
         framed = _frames_in_blocks(known, length * reach, reach, minutes)
     else:
         framed = _frames_by_levels(known, minutes)
