@@ -136,6 +136,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
+def histogram_per_class(df: DataFrame, value: str, by: str, bins: int = 50) -> DataFrame:
+    """Equal-width histogram of each class over its own range, with densities."""
+    df = df.where(F.col(value).isNotNull())
+    ranges = df.groupBy(by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_size"))
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    at = F.floor(F.try_divide(F.col(value) - F.col("_lo"), width))
+    slot = F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)).cast("int")
+    counts = df.join(ranges, by).groupBy(by, "_lo", "_hi", "_size", slot.alias("bin")).agg(F.count("*").alias("n"))
+    return counts.select(
+        by, "bin", "n", (F.col("_lo") + F.col("bin") * width).alias("bin_from"),
+        F.try_divide(F.col("n"), F.col("_size") * width).alias("density"),
+    )
+
+
 def histogram(df: DataFrame, value: str, by: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram per class over the common range, with densities."""
     df = df.where(F.col(value).isNotNull())

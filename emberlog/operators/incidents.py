@@ -108,7 +108,8 @@ def build_contexts(
     about = totals.join(messages, "span_id", "left").withColumnRenamed("span_id", "anomaly_id")
     out = incidents.join(about, "anomaly_id", "left")
     return out.select(
-        "anomaly_id", "node", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        "anomaly_id", "node", 
+        F.regexp_replace(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.0+$", "").alias("timestamp"),
         F.coalesce(n, F.lit(0)).alias("total_events"),
         F.coalesce("error_count", F.lit(0)).alias("error_count"),
         F.when(empty, "0.0%").otherwise(S.percent_text(F.col("error_count") / n)).alias("error_rate"),

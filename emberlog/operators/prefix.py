@@ -175,27 +175,95 @@ def ordered_totals(counts: DataFrame, key: str, measures: Sequence[str], by: Seq
     )
 
 
+SKETCH_ACCURACY = 10_000
+
+
+def _as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles; NaN counts as missing."""
+    value = {c: F.col(c).cast("double") for c in columns}
+    return df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in value.items()])
+
+
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[tuple[float, float]]]:
+    """Per column, disjoint value ranges that should hold the quantiles asked for.
+
+    One pass of mergeable sketches over all columns; the driver gets two numbers
+    per column and quantile.
+    """
+    slack = 4.0 / SKETCH_ACCURACY
+    around = [p for q in probs for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    row = df.agg(*[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(c) for c in columns]).first()
+    out = {}
+    for c in columns:
+        marks = row[c] or []
+        merged: list[tuple[float, float]] = []
+        for lo, hi in sorted(zip(marks[::2], marks[1::2])):
+            if merged and lo <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            else:
+                merged.append((lo, hi))
+        out[c] = merged
+    return out
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Linear-interpolation quantiles: one row per feature, columns ``q0..``.
 
-    Spark's ``percentile`` keeps every distinct value of a column in one task;
-    here the values are counted per (feature, value) and ranked in buckets.
+    Spark's ``percentile`` keeps every distinct value of a column in one task.
+    Here sketches first bracket each quantile. Values inside a bracket are
+    counted one by one, all others only per gap between brackets, so little more
+    than the brackets is shuffled. Counts then give the exact order statistics;
+    a column whose statistic falls in a gap after all is counted in full.
+    """
+    columns = list(columns)
+    values = _as_doubles(df, columns)
+    brackets = _brackets(values, columns, probs)
+    found = _ranked_quantiles(_bracketed_counts(values, brackets), probs).collect()  # a row per column
+    missed = [r["feature"] for r in found if r["in_gap"]]
+    rows = [r for r in found if not r["in_gap"]]
+    if missed:
+        whole = {c: [(float("-inf"), float("inf"))] for c in missed}
+        rows += _ranked_quantiles(_bracketed_counts(values.select(*missed), whole), probs).collect()
+    names = [f"q{i}" for i in range(len(probs))]
+    schema = "feature string, n long, " + ", ".join(f"{n} double" for n in names)
+    return df.sparkSession.createDataFrame([(r["feature"], r["n"], *[r[n] for n in names]) for r in rows], schema)
+
+
+def _bracketed_counts(values: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """(feature, value, exact, n): one row per value in a bracket and one per gap.
+
+    A gap is represented by its smallest value, which sorts it correctly.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value"
+    pieces = []
+    for c, ranges in brackets.items():
+        x = F.col(c)
+        slot = F.lit(2 * len(ranges))
+        for k, (lo, hi) in reversed(list(enumerate(ranges))):
+            slot = F.when(x < lo, 2 * k).when(x <= hi, 2 * k + 1).otherwise(slot)
+        pieces.append(F.struct(F.lit(c).alias("feature"), x.alias("x"), slot.alias("slot")))
+    long = values.select(F.explode(F.array(*pieces)).alias("p")).select("p.*").where(F.col("x").isNotNull())
+    exact = F.col("slot") % 2 == 1
+    return (
+        long.groupBy("feature", "slot", F.when(exact, F.col("x")).alias("v"))
+        .agg(F.min("x").alias("value"), F.count("*").alias("n"))
+        .select("feature", "value", exact.alias("exact"), "n")
     )
-    counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
+
+
+def _ranked_quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Quantiles per feature from (feature, value, exact, n) counts."""
     ranked = ordered_totals(counts, "value", ["n"], ["feature"])
     exprs: list[Column] = []
     for i, q in enumerate(probs):
         pos = (F.col("all_n") - 1) * F.lit(float(q))
-        exprs.append(F.min(F.when(F.col("run_n") > F.floor(pos), F.col("value"))).alias(f"_lo{i}"))
-        exprs.append(F.min(F.when(F.col("run_n") > F.ceil(pos), F.col("value"))).alias(f"_hi{i}"))
+        hit = F.struct("value", "exact")
+        exprs.append(F.min(F.when(F.col("run_n") > F.floor(pos), hit)).alias(f"_lo{i}"))
+        exprs.append(F.min(F.when(F.col("run_n") > F.ceil(pos), hit)).alias(f"_hi{i}"))
     agg = ranked.groupBy("feature").agg(F.max("all_n").alias("n"), *exprs)
-    out = []
+    out, gap = [], F.lit(False)
     for i, q in enumerate(probs):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        gap = gap | ~lo["exact"] | ~hi["exact"]
         pos = (F.col("n") - 1) * F.lit(float(q))
-        out.append(
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (pos - F.floor(pos))).alias(f"q{i}")
-        )
-    return agg.select("feature", "n", *out)
+        out.append((lo["value"] + (hi["value"] - lo["value"]) * (pos - F.floor(pos))).alias(f"q{i}"))
+    return agg.select("feature", "n", *out, gap.alias("in_gap"))

@@ -352,7 +352,7 @@ comp AS (SELECT anomaly_id, string_agg(component, ', ' ORDER BY n DESC, componen
 msg AS (SELECT anomaly_id, string_agg('  - ' || content, chr(10) ORDER BY rn) AS messages FROM (
         SELECT anomaly_id, content, row_number() OVER (PARTITION BY anomaly_id ORDER BY timestamp, event_id) AS rn FROM pairs WHERE content IS NOT NULL)
         WHERE rn <= 5 GROUP BY 1),
-ctx AS (SELECT i.anomaly_id, i.node, {ts_sql('i.t')} AS timestamp, CAST(n AS BIGINT) AS total_events, CAST(e AS BIGINT) AS error_count,
+ctx AS (SELECT i.anomaly_id, i.node, regexp_replace({ts_sql('i.t')}, '[.]0+$', '') AS timestamp, CAST(n AS BIGINT) AS total_events, CAST(e AS BIGINT) AS error_count,
         printf('%.1f%%', (e / n) * 100.0) AS error_rate, CAST(w AS BIGINT) AS warning_count, CAST(f AS BIGINT) AS fatal_count,
         components, CAST(printf('%.2f', s) AS DOUBLE) AS avg_severity, messages AS sample_messages, anomaly_score
         FROM inc i JOIN tot USING (anomaly_id) JOIN comp USING (anomaly_id) JOIN msg USING (anomaly_id))

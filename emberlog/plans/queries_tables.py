@@ -383,6 +383,14 @@ def a20(spark, d):
     return h.withColumn("bin_from", F.round("bin_from", 6)).withColumn("density", F.round("density", 6))
 
 
+@query("a20_histogram_per_class", """WITH b AS (SELECT is_anomaly, min(anomaly_score) AS lo, (max(anomaly_score) - min(anomaly_score)) / 40.0 AS w, count(*) AS size FROM logs GROUP BY 1),
+c AS (SELECT is_anomaly, CAST(least(floor((anomaly_score - lo) / w), 39) AS INTEGER) AS bin, count(*) AS n FROM logs JOIN b USING (is_anomaly) GROUP BY 1, 2)
+SELECT is_anomaly, bin, n, round(lo + bin * w, 6) AS bin_from, round(n / (size * w), 6) AS density FROM c JOIN b USING (is_anomaly)""")
+def a20_own(spark, d):
+    h = A.histogram_per_class(log_table(spark, d), "anomaly_score", "is_anomaly", 40)
+    return h.withColumn("bin_from", F.round("bin_from", 6)).withColumn("density", F.round("density", 6))
+
+
 @query("a21_latency", "SELECT round(avg(value), 4) AS mean_ms, round(median(value), 4) AS median_ms, round(quantile_cont(value, 0.95), 4) AS p95_ms FROM events", logs=False)
 def a21(spark, d):
     out = A.latency_summary(read_table(spark, d, "events"), "value")

@@ -45,13 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, *keys):
+def spread(df, *keys, most: int | None = None):
     """Hash rows by key over all shuffle partitions.
 
     For Python work that is heavy per byte: the runtime would otherwise merge
-    small partitions into a few tasks and leave cores idle.
+    small partitions into a few tasks and leave cores idle. ``most`` is a known
+    number of keys.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(n, most or n)), *keys)
 
 
 def materialize(df, name: str):

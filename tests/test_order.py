@@ -92,6 +92,19 @@ def test_percent_rank_and_quantiles_with_hot_value(spark):
         assert np.allclose(q.loc[c, ["q0", "q1", "q2", "q3", "q4"]].astype(float), np.quantile(data, [0, 0.25, 0.5, 0.953, 1.0]))
 
 
+def test_quantiles_survive_a_bad_sketch(spark, monkeypatch):
+    """Brackets that miss the quantile only cost another pass."""
+    from emberlog.operators import prefix
+
+    x = np.random.default_rng(6).normal(size=500)
+    x[:40] = np.nan
+    df = spark.createDataFrame(pd.DataFrame({"a": x, "b": np.arange(500.0)}))
+    monkeypatch.setattr(prefix, "_brackets", lambda *a: {"a": [(-9.0, -8.0)], "b": [(100.0, 130.0), (249.0, 250.0)]})
+    q = exact_quantiles(df, ["a", "b"], [0.25, 0.5]).toPandas().set_index("feature")
+    assert np.allclose(q.loc["a", ["q0", "q1"]].astype(float), np.nanquantile(x, [0.25, 0.5]))
+    assert np.allclose(q.loc["b", ["q0", "q1"]].astype(float), [124.75, 249.5])
+
+
 def test_sample_is_uniform_repeatable_and_sized(spark):
     df = spark.range(20_000).withColumnRenamed("id", "event_id")
     a = {r[0] for r in uniform_sample(df, 500).collect()}
