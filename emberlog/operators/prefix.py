@@ -21,6 +21,7 @@ SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 HOUR_US = 60 * MINUTE_US
 CELL_ROWS = 4_000_000
+BUCKET_ABOVE = 1_000_000
 
 
 def epoch_us(ts: Column) -> Column:
@@ -146,16 +147,27 @@ def with_bucket(df: DataFrame, key: str, cuts: Sequence[float], out: str = "_buc
     return bucketizer.transform(df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
 
 
-def ordered_totals(counts: DataFrame, key: str, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def ordered_totals(
+    counts: DataFrame, key: str, measures: Sequence[str], by: Sequence[str] = (), bucket_above: int | None = None
+) -> DataFrame:
     """Add ``run_<m>`` (total up to this key, inclusive) and ``all_<m>`` per group.
 
     ``counts`` has one row per (by, key), so a hot value is a single row. The
     key range is cut into balanced buckets; windows run inside a bucket, and
     the bucket totals (at most 4,096 per group) give the offsets. The counts are
-    written once, since the borders, the totals and the windows all read them.
+    written once, since the borders, the totals and the windows all read them;
+    where they turn out to be few, one window does.
     """
     by = list(by)
+    bucket_above = BUCKET_ABOVE if bucket_above is None else bucket_above
     counts = materialize(counts.where(F.col(key).isNotNull()), "counts")
+    if counts.count() <= bucket_above:
+        group = W.partitionBy(*by)
+        upto = group.orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return counts.select(
+            "*", *[F.sum(m).over(upto).alias(f"run_{m}") for m in measures],
+            *[F.sum(m).over(group).alias(f"all_{m}") for m in measures],
+        )
     p = with_bucket(counts, key, cut_points(counts, key))
     cell = [*by, "_bucket"]
     in_cell = W.partitionBy(*cell).orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)

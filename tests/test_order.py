@@ -81,7 +81,11 @@ def test_range_totals_equal_nested_loop(spark, fine):
         assert got.loc[s.span_id, "n_before"] == (mine.us < s.lo).sum()
 
 
-def test_percent_rank_and_quantiles_with_hot_value(spark):
+@pytest.mark.parametrize("bucket_above", [0, 1_000_000])
+def test_percent_rank_and_quantiles_with_hot_value(spark, monkeypatch, bucket_above):
+    from emberlog.operators import prefix
+
+    monkeypatch.setattr(prefix, "BUCKET_ABOVE", bucket_above)
     rng = np.random.default_rng(4)
     x = np.where(rng.random(1000) < 0.4, 0.5, rng.normal(size=1000))
     df = spark.createDataFrame(pd.DataFrame({"event_id": range(1000), "s": x, "t": rng.integers(0, 3, 1000).astype(float)}))
