@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ LEVELS = (
 SEVERE = "Drift severo — re-entrenamiento recomendado con /retrain."
 NO_FEATURES = "Features not found — run notebook 02 first."
 
+CELLS = 512
+DIRECT_BELOW = 5_000_000
+
 
 def shared_columns(reference: DataFrame, current: DataFrame) -> list[str]:
     return [c for c in reference.columns if c in current.columns]
@@ -34,24 +39,75 @@ def _p_value(d: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
-def ks_per_feature(both: DataFrame, columns: Sequence[str], is_current: Column) -> DataFrame:
+def ks_per_feature(
+    both: DataFrame, columns: Sequence[str], is_current: Column, direct_below: int = DIRECT_BELOW
+) -> DataFrame:
     """KS statistic and p-value per feature for two sides held in one table.
 
-    Values are counted per (feature, value, side) before any ordering, so a
-    value shared by most rows is one row when the two ECDFs are compared.
+    Small tables are counted per (feature, value). On large ones that would
+    shuffle every value of every feature, so the ECDFs are first compared at
+    quantile borders, and values are counted only in cells where the gap could
+    still exceed the largest one seen. Both give the exact statistic.
     """
-    long = both.select(
+    values = both.select(
         is_current.alias("_cur"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
-    ).unpivot(["_cur"], list(columns), "feature", "value")
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if(~F.col("_cur")).alias("ref"), F.count_if(F.col("_cur")).alias("cur")
     )
-    run = ordered_totals(counts, "value", ["ref", "cur"], ["feature"])
+    small = values.count() * len(columns) <= direct_below
+    stat = _ks_direct(values, columns) if small else _ks_by_cells(values, list(columns))
+    return stat.withColumn("p_value", _p_value(F.col("ks"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
+
+
+def _side_counts() -> list[Column]:
+    return [F.count_if(~F.col("_cur")).alias("ref"), F.count_if(F.col("_cur")).alias("cur")]
+
+
+def _ks_direct(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    long = values.unpivot(["_cur"], list(columns), "feature", "value")
+    run = ordered_totals(long.groupBy("feature", "value").agg(*_side_counts()), "value", ["ref", "cur"], ["feature"])
     gap = F.abs(F.col("run_ref") / F.col("all_ref") - F.col("run_cur") / F.col("all_cur"))
-    stat = run.groupBy("feature").agg(
-        F.max(gap).alias("ks"), F.max("all_ref").alias("n_ref"), F.max("all_cur").alias("n_cur")
+    return run.groupBy("feature").agg(F.max(gap).alias("ks"), F.max("all_ref").alias("n_ref"), F.max("all_cur").alias("n_cur"))
+
+
+def _ks_by_cells(values: DataFrame, columns: list[str]) -> DataFrame:
+    """Compare at cell borders, then look inside the cells that may hold the maximum.
+
+    The driver sees counts per (feature, cell) only: 512 cells a feature.
+    """
+    probs = [i / CELLS for i in range(1, CELLS)]
+    marks = values.agg(*[F.percentile_approx(c, probs, 20 * CELLS).alias(c) for c in columns]).first()
+    splits = [[float("-inf"), *(sorted(set(marks[c] or [])) or [0.0]), float("inf")] for c in columns]
+    cells = [f"_cell_{i}" for i in range(len(columns))]
+    placed = Bucketizer(inputCols=columns, outputCols=cells, splitsArray=splits, handleInvalid="keep").transform(values)
+    long = placed.select("_cur", *[F.col(k).alias(c) for c, k in zip(columns, cells)]).unpivot(["_cur"], columns, "feature", "cell")
+    counts = long.groupBy("feature", "cell").agg(*_side_counts()).toPandas().sort_values(["feature", "cell"])
+
+    ends, starts, open_cells = [], [], {}
+    for feature, g in counts.groupby("feature"):
+        n_ref, n_cur = int(g["ref"].sum()), int(g["cur"].sum())
+        run_ref, run_cur = g["ref"].cumsum().to_numpy(), g["cur"].cumsum().to_numpy()
+        hi_ref, hi_cur = run_ref / max(n_ref, 1), run_cur / max(n_cur, 1)
+        lo_ref, lo_cur = np.append(0.0, hi_ref[:-1]), np.append(0.0, hi_cur[:-1])
+        best = float(np.abs(hi_ref - hi_cur).max())
+        may_exceed = np.maximum(hi_ref - lo_cur, hi_cur - lo_ref) > best
+        open_cells[feature] = [float(c) for c in g["cell"].to_numpy()[may_exceed]]
+        ends.append((feature, best, n_ref, n_cur))
+        starts += [(feature, float(c), int(r), int(k)) for c, r, k in zip(
+            g["cell"][may_exceed], (run_ref - g["ref"])[may_exceed], (run_cur - g["cur"])[may_exceed])]
+    spark = values.sparkSession
+    known = spark.createDataFrame(ends, "feature string, best double, n_ref long, n_cur long")
+    before = spark.createDataFrame(starts, "feature string, cell double, b_ref long, b_cur long")
+
+    inside = [
+        F.struct(F.lit(c).alias("feature"), F.col(k).alias("cell"), F.when(F.col(k).isin(open_cells.get(c, [])), F.col(c)).alias("value"))
+        for c, k in zip(columns, cells)
+    ]
+    fine = placed.select("_cur", F.explode(F.array(*inside)).alias("p")).select("_cur", "p.*").where(F.col("value").isNotNull())
+    run = ordered_totals(
+        fine.groupBy("feature", "cell", "value").agg(*_side_counts()), "value", ["ref", "cur"], ["feature", "cell"]
     )
-    return stat.withColumn("p_value", _p_value(F.col("ks"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
+    gap = F.abs((F.col("b_ref") + F.col("run_ref")) / F.col("n_ref") - (F.col("b_cur") + F.col("run_cur")) / F.col("n_cur"))
+    found = run.join(before, ["feature", "cell"]).join(known, "feature").groupBy("feature").agg(F.max(gap).alias("found"))
+    return known.join(found, "feature", "left").select("feature", F.greatest("best", "found").alias("ks"), "n_ref", "n_cur")
 
 
 def ks_two_tables(reference: DataFrame, current: DataFrame) -> DataFrame:

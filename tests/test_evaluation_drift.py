@@ -83,6 +83,26 @@ def test_statistic_equals_direct_ecdf_gap(spark, monkeypatch, bucket_above):
     assert (ks["n_ref"], ks["n_cur"]) == (400, 250)
 
 
+def test_cells_give_the_exact_statistic(spark, monkeypatch):
+    """Large-table plan on ties, a hot value and a shifted column."""
+    rng = np.random.default_rng(11)
+    n = 3000
+    cur = rng.random(n) < 0.3
+    pdf = pd.DataFrame({
+        "c": cur, "same": rng.normal(size=n), "moved": rng.normal(size=n) + 0.4 * cur,
+        "hot": np.where(rng.random(n) < 0.4, 1.5, rng.normal(size=n)), "flat": 7.0, "whole": rng.integers(0, 6, n).astype(float),
+    })
+    monkeypatch.setattr(D, "CELLS", 16)
+    names = ["same", "moved", "hot", "flat", "whole"]
+    got = D.ks_per_feature(spark.createDataFrame(pdf), names, F.col("c"), direct_below=0).toPandas().set_index("feature")
+    for c in names:
+        a, b = np.sort(pdf.loc[~cur, c]), np.sort(pdf.loc[cur, c])
+        grid = np.unique(pdf[c])
+        want = np.abs(np.searchsorted(a, grid, "right") / len(a) - np.searchsorted(b, grid, "right") / len(b)).max()
+        assert got.loc[c, "ks"] == pytest.approx(want, abs=1e-12), c
+        assert (got.loc[c, "n_ref"], got.loc[c, "n_cur"]) == (len(a), len(b))
+
+
 def test_only_shared_columns_count(spark, reference):
     cur = reference.drop("burst_flag").withColumn("extra", F.lit(1.0))
     assert D.shared_columns(reference, cur) == ["error_rate", "severity_mean"]
