@@ -252,8 +252,8 @@ def _bracketed_counts(values: DataFrame, brackets: dict[str, list[tuple[float, f
         slot = F.lit(2 * len(ranges))
         for k, (lo, hi) in reversed(list(enumerate(ranges))):
             slot = F.when(x < lo, 2 * k).when(x <= hi, 2 * k + 1).otherwise(slot)
-        pieces.append(F.struct(F.lit(c).alias("feature"), x.alias("x"), slot.alias("slot")))
-    long = values.select(F.explode(F.array(*pieces)).alias("p")).select("p.*").where(F.col("x").isNotNull())
+        pieces += [F.lit(c), x, slot]
+    long = values.select(F.stack(F.lit(len(brackets)), *pieces).alias("feature", "x", "slot")).where(F.col("x").isNotNull())
     exact = F.col("slot") % 2 == 1
     return (
         long.groupBy("feature", "slot", F.when(exact, F.col("x")).alias("v"))
