@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,23 @@ def build_session(cores: str = "*", partitions: int = 8, app: str = "emberlog")
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the tasks of a cluster that doesn't have it installed; once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_emberlog_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="emberlog-ship-"), "emberlog.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("emberlog", os.path.relpath(path, home)))
+    context.addPyFile(archive)
+    context._emberlog_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
