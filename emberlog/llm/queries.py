@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emberlog.llm import nearcopies
-from emberlog.llm.tables import table
+from emberlog.llm import decontaminate, mixing, nearcopies, sharding, toxicity
+from emberlog.llm.tables import id_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +19,29 @@ def query(fn):
     return fn
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (id_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
