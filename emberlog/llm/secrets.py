@@ -103,7 +103,8 @@ def secret_report(docs: DataFrame, repository: str = "doc_id", owner: str = "sou
     listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     out = rows.select("row", "doc_id").join(per_row, "row", "left").withColumn("s", F.coalesce("s", F.array().cast(per_row.schema["s"].dataType)))
     count = lambda test: F.size(F.filter("s", test)).cast("long")
+    of_kind = lambda kind: lambda x: x["kind"] == kind
     return out.select(
-        "doc_id", *[count(lambda x, k=k: x["kind"] == k).alias(f"n_{k}") for k in KINDS[:3]],
+        "doc_id", *[count(of_kind(k)).alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(listed(F.filter("s", is_base)), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"),
         count(lambda x: x["live"]).alias("n_live"), count(lambda x: ~x["live"]).alias("n_copied"))

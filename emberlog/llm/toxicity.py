@@ -5,7 +5,7 @@ table of embeddings by hash, so a misspelling shares most of its vectors with
 the word it comes from. A word's vector is the mean over its n-grams, a text's
 vector the mean over its words (times a constant), and a linear softmax over
 that gives the probability. Embeddings and softmax are trained together, in
-numpy, by full-batch Adam on a bounded sample of labelled documents
+numpy, by full-batch descent on a bounded sample of labelled documents
 (``per_class`` of each class, drawn by id hash); the softmax bias is then moved
 to the class shares of all labelled training rows. Scoring needs one number per
 n-gram bucket, the embedding's product with the softmax, and covers every word
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from emberlog.llm import kernels as K
 from emberlog.llm.tables import id_fold
 
-PER_CLASS, BUCKETS, DIM, EPOCHS, SCALE = 2000, 1 << 18, 4, 60, 32.0
+PER_CLASS, BUCKETS, DIM, EPOCHS, RATE = 1000, 1 << 18, 4, 40, 0.02
+LEAST_TEXTS, NOISE = 3, 3.0
 LOW_N, HIGH_N = 3, 6
 REJECT = 0.7
 
@@ -58,60 +59,91 @@ def ngrams(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int):
             yield (K.mix(rolled[has] + K.salt(n)) & np.uint64(buckets - 1)).astype(np.int64), np.concatenate([[0], np.cumsum(count)])
 
 
+def _bags(texts: pa.Array, buckets: int):
+    """The mean word of every text over n-gram buckets, sparse: (text, bucket, share), sorted."""
+    data, at = K.text_bytes(texts)
+    rows, ids, shares = [], [], []
+    for lo, _, part, offs in K.pieces(data, at, 1 << 18):
+        w = K.words(part, offs)
+        if not len(w.start):
+            continue
+        one, where = distinct_words(w)
+        doc = np.repeat(np.arange(len(offs) - 1), np.diff(w.first))
+        pair, tf = np.unique(doc * len(one) + where, return_counts=True)
+        pdoc, pword = pair // len(one), pair % len(one)
+        grams = list(ngrams(part, w.start[one], w.end[one], buckets))
+        per_word = sum(np.diff(first) for _, first in grams)
+        share = tf / np.diff(w.first)[pdoc] / per_word[pword]
+        key, value = [], []
+        for flat, first in grams:
+            n = np.diff(first)[pword]
+            key.append(np.repeat(pdoc, n) * buckets + flat[np.repeat(first[pword], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
+            value.append(np.repeat(share, n))
+        key, to = np.unique(np.concatenate(key), return_inverse=True)
+        rows.append(key // buckets + lo)
+        ids.append(key % buckets)
+        shares.append(np.bincount(to, weights=np.concatenate(value)).astype(np.float32))
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    return np.concatenate(rows), np.concatenate(ids), np.concatenate(shares)
+
+
+def _evidence(row: np.ndarray, col: np.ndarray, labels: np.ndarray, n_cols: int) -> np.ndarray:
+    """Per n-gram, by how many standard errors its share of toxic texts exceeds that of others, beyond ``NOISE``."""
+    pos, neg = labels.sum(), (1 - labels).sum()
+    in_pos = np.bincount(col, weights=labels[row], minlength=n_cols)
+    in_all = np.bincount(col, minlength=n_cols)
+    p = in_all / len(labels)
+    z = (in_pos / pos - (in_all - in_pos) / neg) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / pos + 1 / neg))
+    return np.sign(z) * np.maximum(np.abs(z) - NOISE, 0)
+
+
 def _train(texts: pa.Array, labels: np.ndarray, buckets: int, dim: int, epochs: int) -> tuple[np.ndarray, np.ndarray]:
     """Per bucket, what an n-gram adds to the toxic margin of its word; the bias."""
-    data, at = K.text_bytes(texts)
-    w = K.words(data, at)
-    doc = np.repeat(np.arange(len(labels)), np.diff(w.first))
-    one, where = distinct_words(w)
-    # document by word counts, sorted by document
-    pair, tf = np.unique(doc * np.int64(max(len(one), 1)) + where, return_counts=True)
-    pdoc, pword = pair // max(len(one), 1), pair % max(len(one), 1)
-    weight = tf / np.maximum(np.diff(w.first), 1)[pdoc]
-    flat, owner = [], []
-    for ids, first in ngrams(data, w.start[one], w.end[one], buckets):
-        flat.append(ids)
-        owner.append(np.repeat(np.arange(len(one)), np.diff(first)))
-    flat, owner = np.concatenate(flat), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    flat, owner = flat[order], owner[order]
-    used, flat = np.unique(flat, return_inverse=True)
-    per_word = np.bincount(owner, minlength=len(one)).astype(float)
-    word_first = np.concatenate([[0], np.cumsum(per_word)]).astype(np.int64)[:-1]
-    by_bucket = np.argsort(flat, kind="stable")
-    bucket_first = np.searchsorted(flat[by_bucket], np.arange(len(used)))
-    by_word = np.argsort(pword, kind="stable")
-    pair_first = np.searchsorted(pword[by_word], np.arange(len(one)))
-    with_words = np.flatnonzero(np.diff(w.first))
-    doc_first = np.searchsorted(pdoc, with_words)
+    row, ids, share = _bags(texts, buckets)
+    keep = np.bincount(ids, minlength=buckets)[ids] >= LEAST_TEXTS
+    row, share = row[keep], share[keep]
+    used, col = np.unique(ids[keep], return_inverse=True)
+    weights = np.zeros(buckets, np.float32)
+    if not len(used):
+        return weights, np.zeros(1)
+    by_col = np.argsort(col, kind="stable")
+    col_first = np.searchsorted(col[by_col], np.arange(len(used)))
+    filled, row_first = np.unique(row, return_index=True)
 
     rng = np.random.default_rng(11)
-    params = [rng.normal(0, 0.3, (len(used), dim)), rng.normal(0, 0.3, (dim, 2)), np.zeros(2)]
+    emb = rng.normal(0, 0.01, (len(used), dim))
+    emb[:, 0] += _evidence(row, col, labels, len(used))
+    top = np.zeros(len(labels))
+    top[filled] = np.add.reduceat(share * emb[col, 0], row_first)
+    emb /= max(top.std(), 1e-9)
+    soft = rng.normal(0, 0.1, (dim, 2))
+    soft[0] = [-0.5, 0.5]
+    params = [emb.astype(np.float32), soft.astype(np.float32), np.zeros(2, np.float32)]
+    rates = (RATE * float(np.abs(emb).max()), RATE * 10, RATE * 10)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    share = np.array([1 - labels.mean(), labels.mean()])
-    importance = 0.5 / share[labels] / len(labels)
-    target = np.eye(2)[labels]
+    balance = np.array([1 - labels.mean(), labels.mean()])
+    importance = (0.5 / balance[labels] / len(labels)).astype(np.float32)
+    target = np.eye(2, dtype=np.float32)[labels]
     for epoch in range(1, epochs + 1):
         emb, soft, bias = params
-        vec = np.add.reduceat(emb[flat], word_first) / per_word[:, None]
-        bag = np.zeros((len(labels), dim))
-        bag[with_words] = np.add.reduceat(weight[:, None] * vec[pword], doc_first)
-        logit = SCALE * bag @ soft + bias
+        bag = np.zeros((len(labels), dim), np.float32)
+        bag[filled] = np.add.reduceat(share[:, None] * emb[col], row_first)
+        logit = bag @ soft + bias
         p = np.exp(logit - logit.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         d_logit = (p - target) * importance[:, None]
-        d_bag = SCALE * d_logit @ soft.T
-        d_vec = np.add.reduceat((weight[:, None] * d_bag[pdoc])[by_word], pair_first) / per_word[:, None]
-        grads = [np.add.reduceat(d_vec[owner[by_bucket]], bucket_first), SCALE * bag.T @ d_logit, d_logit.sum(0)]
-        for i, (q, g) in enumerate(zip(params, grads)):
+        d_bag = d_logit @ soft.T
+        d_emb = np.add.reduceat((share[:, None] * d_bag[row])[by_col], col_first)
+        for i, (q, g, rate) in enumerate(zip(params, (d_emb, bag.T @ d_logit, d_logit.sum(0)), rates)):
             m, v = moments[i]
             m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            q -= 0.1 * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-10)
+            # embeddings share one step length, so n-grams of many texts move furthest
+            v += 0.05 * ((float((g * g).max()) if i == 0 else g * g) - v)
+            q -= rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.95**epoch)) + 1e-12)
     emb, soft, bias = params
-    out = np.zeros(buckets, np.float32)
-    out[used] = SCALE * emb @ (soft[:, 1] - soft[:, 0])
-    return out, np.array([bias[1] - bias[0]])
+    weights[used] = emb @ (soft[:, 1] - soft[:, 0])
+    return weights, np.array([bias[1] - bias[0]], np.float64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
