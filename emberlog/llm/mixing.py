@@ -43,9 +43,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame, block_words: int | None) -> DataFrame:
-    """One row per document: row number, id, source, text hash, words, blocks."""
+def sized(docs: DataFrame, block_words: int | None, once: bool = False) -> DataFrame:
+    """One row per document: row number, id, source, text hash, words, blocks; ``once``: for equal rows together."""
     rows = docs.select(F.col("doc_id"), F.col("source"), F.xxhash64("text").alias("th"), n_words(F.col("text")).alias("size"))
+    rows = rows.distinct() if once else rows
     blocks = F.ceil(F.col("size") / block_words) if block_words else (F.col("size") > 0)
     rows = rows.withColumn("blocks", blocks.cast("long")).withColumn("row", F.monotonically_increasing_id())
     return materialize(rows, "sized")  # written once: the row numbers are used twice
@@ -199,9 +200,10 @@ def drawn_blocks(rows: DataFrame, sources: DataFrame, block_words: int | None =
                         F.xxhash64(F.lit(seed + 1), "h", "pass").alias("local_key"))
 
 
-def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SHARDS, most_passes: int = MOST_PASSES, seed: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SHARDS, most_passes: int = MOST_PASSES, seed: int = 7,
+        once: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, sources, drawn blocks)`` of the mix."""
-    rows = sized(docs, block_words)
+    rows = sized(docs, block_words, once)
     sources = source_targets(rows, most_passes)
     return rows, sources, drawn_blocks(rows, sources, block_words, shards, seed)
 
@@ -219,12 +221,11 @@ def taken_words(docs: DataFrame, **how) -> DataFrame:
 def mixed_documents(docs: DataFrame, shards: int = SHARDS, most_passes: int = MOST_PASSES, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` the mix takes, whole, as often as it takes them (a document is one block).
 
-    Rows equal in id, text and source count as one document here.
+    Rows equal in id, text and source count as one document, and each is taken alike.
     """
-    one = docs.select("doc_id", "text", "source").distinct()
-    rows, _, drawn = mix(one, None, shards, most_passes, seed)
-    times = rows.join(drawn.groupBy("row").agg(F.count("*").alias("times")), "row")
-    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("th").alias("_th"), "times")
+    rows, _, drawn = mix(docs, None, shards, most_passes, seed, once=True)
+    times = drawn.groupBy("row").agg(F.count("*").alias("_times")).join(rows, "row")
+    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("th").alias("_th"), "_times")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.xxhash64("text") == F.col("_th"))
-    out = docs.dropDuplicates(["doc_id", "text", "source"]).join(times, same)
-    return out.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*docs.columns)
+    out = docs.join(times, same).withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return out.select(*docs.columns)
