@@ -1,15 +1,19 @@
 """Toxicity by subword-bag embeddings under a linear softmax.
 
-A word is the bag of its byte n-grams (3 to 6, with end marks); n-grams share a
-table of embeddings by hash, so a misspelling shares most of its vectors with
-the word it comes from. A word's vector is the mean over its n-grams, a text's
-vector the mean over its words (times a constant), and a linear softmax over
-that gives the probability. Embeddings and softmax are trained together, in
-numpy, by full-batch descent on a bounded sample of labelled documents
-(``per_class`` of each class, drawn by id hash); the softmax bias is then moved
-to the class shares of all labelled training rows. Scoring needs one number per
-n-gram bucket, the embedding's product with the softmax, and covers every word
-of every text.
+A word is the bag of its byte n-grams (3 to 6, with end marks) and itself;
+n-grams share a table of embeddings by hash, so a misspelling shares most of its
+vectors with the word it comes from. A word's vector is the mean over its bag,
+the vector of a passage of ``PASSAGE`` words the mean over its different words
+(filled up with zeros, so that a word said over and over weighs as one), and a linear softmax over that gives the
+probability; a text is as toxic as its worst passage, whatever its length.
+
+Embeddings and softmax are trained together, in numpy, by full-batch descent on
+a bounded sample of labelled documents (``per_class`` of each class, drawn by id
+hash); every step learns from each document's worst passage so far, which for
+clean documents is the most misleading one. Embeddings start from how much more
+often an n-gram occurs in toxic texts, in standard errors. Both classes weigh
+alike. Scoring needs one number per n-gram bucket, the embedding's product with
+the softmax, and covers every word of every text.
 
 Defined cases: null and empty texts have no words and get the bias's
 probability; without labels of both classes the share of toxic labels is the
@@ -28,8 +32,8 @@ from pyspark.sql import functions as F
 from emberlog.llm import kernels as K
 from emberlog.llm.tables import id_fold
 
-PER_CLASS, BUCKETS, DIM, EPOCHS, RATE = 1000, 1 << 18, 4, 40, 0.02
-LEAST_TEXTS, NOISE = 3, 3.0
+PER_CLASS, BUCKETS, DIM, EPOCHS, RATE = 1000, 1 << 18, 4, 60, 0.03
+LEAST_TEXTS, NOISE, DECAY, PASSAGE, SHARP = 3, 3.0, 0.002, 32, 8.0
 LOW_N, HIGH_N = 3, 6
 REJECT = 0.7
 
@@ -57,6 +61,21 @@ def ngrams(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int):
             has = left >= n
             count = np.maximum(size + 3 - n, 0)
             yield (K.mix(rolled[has] + K.salt(n)) & np.uint64(buckets - 1)).astype(np.int64), np.concatenate([[0], np.cumsum(count)])
+    whole = np.add.reduceat(code * K.powers(int(size.max()) + 2)[np.repeat(size + 2, size + 2) - left], at[:-1])
+    yield (K.mix(whole) & np.uint64(buckets - 1)).astype(np.int64), np.arange(len(size) + 1)
+
+
+def passages(first: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of every passage: (words, offsets of the passages in them, offsets of the texts in the passages)."""
+    n = np.diff(first)
+    count = -(-n // length)
+    text_edge = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(first[-1]) - np.repeat(first[:-1], n)
+    passage = np.repeat(text_edge[:-1], n) + at // length
+    size = int(where.max()) + 1 if len(where) else 1
+    pair = np.sort(passage * np.int64(size) + where)
+    pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else pair
+    return pair % size, np.searchsorted(pair // size, np.arange(text_edge[-1] + 1)), text_edge
 
 
 def _bags(texts: pa.Array, buckets: int):
@@ -100,47 +119,72 @@ def _evidence(row: np.ndarray, col: np.ndarray, labels: np.ndarray, n_cols: int)
 
 def _train(texts: pa.Array, labels: np.ndarray, buckets: int, dim: int, epochs: int) -> tuple[np.ndarray, np.ndarray]:
     """Per bucket, what an n-gram adds to the toxic margin of its word; the bias."""
-    row, ids, share = _bags(texts, buckets)
-    keep = np.bincount(ids, minlength=buckets)[ids] >= LEAST_TEXTS
-    row, share = row[keep], share[keep]
-    used, col = np.unique(ids[keep], return_inverse=True)
     weights = np.zeros(buckets, np.float32)
+    row, ids, _ = _bags(texts, buckets)
+    often = np.bincount(ids, minlength=buckets) >= LEAST_TEXTS
+    used = np.flatnonzero(often)
     if not len(used):
         return weights, np.zeros(1)
-    by_col = np.argsort(col, kind="stable")
-    col_first = np.searchsorted(col[by_col], np.arange(len(used)))
-    filled, row_first = np.unique(row, return_index=True)
+    number = np.cumsum(often) - 1
+    start = _evidence(row[often[ids]], number[ids[often[ids]]], labels, len(used))
+    # words as runs of kept n-grams
+    data, at = K.text_bytes(texts)
+    w = K.words(data, at)
+    one, where = distinct_words(w)
+    grams = list(ngrams(data, w.start[one], w.end[one], buckets))
+    per_word = sum(np.diff(first) for _, first in grams).astype(np.float32)
+    owner = np.concatenate([np.repeat(np.arange(len(one)), np.diff(first)) for _, first in grams])
+    flat = np.concatenate([flat for flat, _ in grams])
+    owner, flat = owner[often[flat]], number[flat[often[flat]]]
+    order = np.argsort(owner, kind="stable")
+    owner, flat = owner[order], flat[order]
+    known, known_first = np.unique(owner, return_index=True)
+    said, edge, doc_edge = passages(w.first, where, PASSAGE)
+    with_words = np.flatnonzero(np.diff(doc_edge))
+    doc_of = np.repeat(np.arange(len(labels)), np.diff(doc_edge))
 
     rng = np.random.default_rng(11)
-    emb = rng.normal(0, 0.01, (len(used), dim))
-    emb[:, 0] += _evidence(row, col, labels, len(used))
-    top = np.zeros(len(labels))
-    top[filled] = np.add.reduceat(share * emb[col, 0], row_first)
-    emb /= max(top.std(), 1e-9)
-    soft = rng.normal(0, 0.1, (dim, 2))
-    soft[0] = [-0.5, 0.5]
-    params = [emb.astype(np.float32), soft.astype(np.float32), np.zeros(2, np.float32)]
-    rates = (RATE * float(np.abs(emb).max()), RATE * 10, RATE * 10)
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    emb = rng.normal(0, 0.01, (len(used), dim)).astype(np.float32)
+    emb[:, 0] += start / max(np.abs(start).max(), 1e-9)
+    soft = rng.normal(0, 0.1, (dim, 2)).astype(np.float32)
+    soft[0] = [-SHARP * PASSAGE, SHARP * PASSAGE]
+    params = [emb, soft, np.array([1.0, -1.0], np.float32)]
+    speed = [np.zeros_like(p) for p in params]
     balance = np.array([1 - labels.mean(), labels.mean()])
-    importance = (0.5 / balance[labels] / len(labels)).astype(np.float32)
+    importance = (0.5 / balance[labels] / len(labels)).astype(np.float32)[:, None]
     target = np.eye(2, dtype=np.float32)[labels]
-    for epoch in range(1, epochs + 1):
+    vec = np.zeros((len(one), dim), np.float32)
+    for epoch in range(epochs):
         emb, soft, bias = params
-        bag = np.zeros((len(labels), dim), np.float32)
-        bag[filled] = np.add.reduceat(share[:, None] * emb[col], row_first)
-        logit = bag @ soft + bias
+        vec[known] = np.add.reduceat(emb[flat], known_first) / per_word[known, None]
+        bag = np.add.reduceat(vec[said], edge[:-1]) / PASSAGE
+        margin = bag @ (soft[:, 1] - soft[:, 0])
+        worst = np.full(len(labels), -1)
+        top = np.maximum.reduceat(margin, doc_edge[:-1][with_words])
+        hit = np.flatnonzero(margin == np.repeat(top, np.diff(doc_edge)[with_words]))
+        at_doc, first_hit = np.unique(doc_of[hit], return_index=True)
+        worst[at_doc] = hit[first_hit]
+        has = worst >= 0
+        chosen = np.where(has[:, None], bag[worst], 0)
+        logit = chosen @ soft + bias
         p = np.exp(logit - logit.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        d_logit = (p - target) * importance[:, None]
-        d_bag = d_logit @ soft.T
-        d_emb = np.add.reduceat((share[:, None] * d_bag[row])[by_col], col_first)
-        for i, (q, g, rate) in enumerate(zip(params, (d_emb, bag.T @ d_logit, d_logit.sum(0)), rates)):
-            m, v = moments[i]
-            m += 0.1 * (g - m)
-            # embeddings share one step length, so n-grams of many texts move furthest
-            v += 0.05 * ((float((g * g).max()) if i == 0 else g * g) - v)
-            q -= rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.95**epoch)) + 1e-12)
+        d_logit = (p - target) * importance
+        d_bag = (d_logit @ soft.T)[has] / PASSAGE
+        lo, n = edge[worst[has]], edge[worst[has] + 1] - edge[worst[has]]
+        words = said[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        doc = np.repeat(np.arange(len(lo)), n)
+        d_vec = np.stack([np.bincount(words, weights=d_bag[doc, i], minlength=len(one)) for i in range(dim)], 1) / per_word[:, None]
+        touched = np.flatnonzero(d_vec.any(1)[owner])
+        d_emb = np.stack([np.bincount(flat[touched], weights=d_vec[owner[touched], i], minlength=len(used)) for i in range(dim)], 1)
+        # One step length per block, not per number: n-grams that many texts share
+        # move far, those of a few hardly move.
+        for q, v, g in zip(params, speed, (d_emb, chosen.T @ d_logit, d_logit.sum(0))):
+            v *= 0.8
+            v += 0.2 * g
+            scale = max(float(np.abs(v).max()), 1e-9)
+            q -= RATE * (1 - epoch / epochs) * max(float(np.abs(q).max()), 1.0) * v / scale
+        params[0] *= 1 - DECAY
     emb, soft, bias = params
     weights[used] = emb @ (soft[:, 1] - soft[:, 0])
     return weights, np.array([bias[1] - bias[0]], np.float64)
@@ -154,8 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, buckets:
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     neg, pos = counts.get(0, 0), counts.get(1, 0)
-    prior = float(np.log((pos + 1e-6) / (neg + 1e-6))) if pos + neg else 0.0
-    constant = np.zeros(buckets, np.float32), float(np.clip(prior, -10, 10))
+    share = float(np.log((pos + 1e-6) / (neg + 1e-6))) if pos + neg else 0.0
+    constant = np.zeros(buckets, np.float32), float(np.clip(share, -10, 10))
     if not pos or not neg:
         return constant
     drawn = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
@@ -176,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, buckets:
     model = sample.repartition(1).mapInArrow(train, "weights binary, bias double").collect()
     if not model:
         return constant
-    return np.frombuffer(model[0]["weights"], np.float32), float(model[0]["bias"]) + prior
+    return np.frombuffer(model[0]["weights"], np.float32), float(model[0]["bias"])
 
 
 def text_scores(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -192,7 +236,10 @@ def text_scores(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarra
             for ids, first in ngrams(part, w.start[one], w.end[one], len(weights)):
                 total += K.sums_by_row(weights[ids].astype(np.float64), first)
                 count += np.diff(first)
-            margin = K.sums_by_row((total / count)[where], w.first) / np.maximum(np.diff(w.first), 1)
+            said, edge, text_edge = passages(w.first, where, PASSAGE)
+            bag = K.sums_by_row((total / count)[said], edge) / PASSAGE
+            filled = np.flatnonzero(np.diff(text_edge))
+            margin[filled] = np.maximum.reduceat(bag, text_edge[:-1][filled])
         out[lo:hi] = 1 / (1 + np.exp(-np.clip(margin + bias, -500, 500)))
     return out
 
