@@ -70,15 +70,18 @@ def _clean(text: Column) -> Column:
 def parse_answers(df: DataFrame, text: str = "response") -> DataFrame:
     """Add the four answer fields read from ``text``.
 
-    Code fences are removed; then the outermost braces are read as JSON; then
-    complete ``"key": "value"`` pairs are picked from a cut answer; what is
+    Code fences are removed; then the outermost braces are read as JSON, if they
+    hold one object and nothing behind it; then complete ``"key": "value"`` pairs are picked from a cut answer; what is
     still unreadable keeps its first 300 characters.
     """
     schema = ", ".join(f"{f} string" for f in ANSWER_FIELDS) + ", _bad string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
     out = df.withColumn("_clean", _clean(F.coalesce(F.col(text), F.lit(""))))
     out = out.withColumn("_doc", F.from_json(F.regexp_extract("_clean", r"(?s)\{.*\}", 0), schema, options))
-    whole = F.col("_doc").isNotNull() & F.col("_doc._bad").isNull() & F.col("_clean").rlike(r"(?s)\{.*\}")
+    # as the only element of an array, text behind the object makes it unreadable or longer
+    alone = F.from_json(F.concat(F.lit("["), F.regexp_extract("_clean", r"(?s)\{.*\}", 0), F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    out = out.withColumn("_alone", F.coalesce(F.size(alone) == 1, F.lit(False)))
+    whole = F.col("_alone") & F.col("_doc").isNotNull() & F.col("_doc._bad").isNull() & F.col("_clean").rlike(r"(?s)\{.*\}")
 
     def pair(f):
         return rf'"{f}"\s*:\s*"([^"\\]*+(?:\\.[^"\\]*+)*+)"'

@@ -153,7 +153,8 @@ def histogram_per_class(df: DataFrame, value: str, by: str, bins: int = 50) -> D
 def histogram(df: DataFrame, value: str, by: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram per class over the common range, with densities."""
     df = df.where(F.col(value).isNotNull())
-    lo, hi = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
+    ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()  # one scan for both
+    lo, hi = ends["lo"], ends["hi"]
     width = (hi - lo) / F.lit(float(bins))
     slot = F.when(hi == lo, 0).otherwise(F.least(F.floor((F.col(value) - lo) / width), F.lit(bins - 1))).cast("int")
     counts = df.groupBy(by, slot.alias("bin")).agg(F.count("*").alias("n"))

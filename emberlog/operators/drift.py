@@ -31,7 +31,7 @@ def shared_columns(reference: DataFrame, current: DataFrame) -> list[str]:
 
 def _p_value(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic Kolmogorov tail; the series is cut at 100 terms."""
-    lam = d * F.sqrt(n * m / (n + m))
+    lam = d * F.coalesce(F.sqrt(F.try_divide(n * m, n + m)), F.lit(0.0))
     sign = lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0)
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, k: s + sign(k) * F.exp(-2.0 * k * k * lam * lam)
@@ -47,13 +47,17 @@ def ks_per_feature(
     Small tables are counted per (feature, value). On large ones that would
     shuffle every value of every feature, so the ECDFs are first compared at
     quantile borders, and values are counted only in cells where the gap could
-    still exceed the largest one seen. Both give the exact statistic.
+    still exceed the largest one seen. Both give the exact statistic. A side
+    without rows has statistic and p-value 1.
     """
     values = both.select(
         is_current.alias("_cur"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
     )
     small = values.count() * len(columns) <= direct_below
     stat = _ks_direct(values, columns) if small else _ks_by_cells(values, list(columns))
+    no_side = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
+    stat = stat.withColumn("ks", F.when(no_side, 1.0).otherwise(F.col("ks")))
+    stat = stat.withColumns({c: F.greatest(F.col(c), F.lit(0)) for c in ("n_ref", "n_cur")})
     return stat.withColumn("p_value", _p_value(F.col("ks"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
 
 
@@ -64,7 +68,7 @@ def _side_counts() -> list[Column]:
 def _ks_direct(values: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = values.unpivot(["_cur"], list(columns), "feature", "value")
     run = ordered_totals(long.groupBy("feature", "value").agg(*_side_counts()), "value", ["ref", "cur"], ["feature"])
-    gap = F.abs(F.col("run_ref") / F.col("all_ref") - F.col("run_cur") / F.col("all_cur"))
+    gap = F.abs(F.try_divide("run_ref", "all_ref") - F.try_divide("run_cur", "all_cur"))
     return run.groupBy("feature").agg(F.max(gap).alias("ks"), F.max("all_ref").alias("n_ref"), F.max("all_cur").alias("n_cur"))
 
 
@@ -105,7 +109,7 @@ def _ks_by_cells(values: DataFrame, columns: list[str]) -> DataFrame:
     run = ordered_totals(
         fine.groupBy("feature", "cell", "value").agg(*_side_counts()), "value", ["ref", "cur"], ["feature", "cell"]
     )
-    gap = F.abs((F.col("b_ref") + F.col("run_ref")) / F.col("n_ref") - (F.col("b_cur") + F.col("run_cur")) / F.col("n_cur"))
+    gap = F.abs(F.try_divide(F.col("b_ref") + F.col("run_ref"), F.col("n_ref")) - F.try_divide(F.col("b_cur") + F.col("run_cur"), F.col("n_cur")))
     found = run.join(before, ["feature", "cell"]).join(known, "feature").groupBy("feature").agg(F.max(gap).alias("found"))
     return known.join(found, "feature", "left").select("feature", F.greatest("best", "found").alias("ks"), "n_ref", "n_cur")
 

@@ -9,11 +9,13 @@ window they open is bounded by construction, whatever the data looks like.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 from emberlog.session import materialize
 
@@ -25,8 +27,17 @@ BUCKET_ABOVE = 1_000_000
 
 
 def epoch_us(ts: Column) -> Column:
-    """Microseconds since the epoch (the session time zone must be UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since the epoch; a time without zone is read as it is written, whatever the session's zone."""
+    day = F.unix_date(ts.cast("date")).cast("long") * (24 * HOUR_US)
+    clock = F.hour(ts).cast("long") * HOUR_US + F.minute(ts).cast("long") * MINUTE_US + (F.extract(F.lit("SECOND"), ts) * SECOND_US).cast("long")
+    return F.when(F.typeof(ts) == "timestamp", F.unix_micros(ts.cast("timestamp"))).otherwise(day + clock)
+
+
+def time_at(us: int, kind: DataType) -> Column:
+    """A literal of a time column's own type, the inverse of ``epoch_us``."""
+    if isinstance(kind, TimestampNTZType):
+        return F.lit(str(datetime(1970, 1, 1) + timedelta(microseconds=us))).cast(kind)
+    return F.timestamp_micros(F.lit(us)).cast(kind)
 
 
 def floor_div(n: Column, width: int) -> Column:
@@ -109,15 +120,15 @@ def range_totals(
     by = list(by)
     zero = [F.lit(0).cast("long").alias(m) for m in measures]
     data = events.groupBy(*by, "us").agg(*[F.sum(m).cast("long").alias(m) for m in measures])
-    data = data.select(*by, "us", F.lit(1).alias("ord"), F.lit(None).cast(spans.schema["span_id"].dataType).alias("span_id"), *measures)
+    data = data.select(*by, "us", F.lit(1).alias("ord"), *measures)
     ends = F.explode(F.array(F.struct(F.col("lo").alias("us"), F.lit(0).alias("ord")),
                              F.struct(F.col("hi").alias("us"), F.lit(2).alias("ord")))).alias("e")
-    asks = spans.select(*by, "span_id", ends).select(*by, "e.us", "e.ord", "span_id", *zero)
+    # spans that share an end ask once
+    asks = spans.select(*by, ends).select(*by, "e.us", "e.ord").distinct().select(*by, "us", "ord", *zero)
     run = running_totals(data.unionByName(asks), measures, by, fine).where(F.col("ord") != 1)
-    low = [F.max(F.when(F.col("ord") == 0, F.col(f"run_{m}"))).alias(f"{m}_before") for m in measures]
-    high = [F.max(F.when(F.col("ord") == 2, F.col(f"run_{m}"))).alias(f"_hi_{m}") for m in measures]
-    wide = run.groupBy(*by, "span_id").agg(*low, *high)
-    return wide.select(
+    low = run.where("ord = 0").select(*by, F.col("us").alias("lo"), *[F.col(f"run_{m}").alias(f"{m}_before") for m in measures])
+    high = run.where("ord = 2").select(*by, F.col("us").alias("hi"), *[F.col(f"run_{m}").alias(f"_hi_{m}") for m in measures])
+    return spans.join(low, [*by, "lo"]).join(high, [*by, "hi"]).select(
         *by, "span_id",
         *[(F.col(f"_hi_{m}") - F.col(f"{m}_before")).alias(m) for m in measures],
         *[F.col(f"{m}_before") for m in measures],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from emberlog.operators.prefix import HOUR_US, SECOND_US, epoch_us, floor_div
+from emberlog.operators.prefix import HOUR_US, SECOND_US, epoch_us, floor_div, time_at
 
 # twelve bits per step: at most 4,096 counts to look through
 ID_SHIFTS = (52, 40, 28, 16, 4, 0)
@@ -30,7 +30,7 @@ class Cut:
         if self.nulls:
             return time.isNotNull() | (F.col(row_id) <= self.last_id)
         # a literal of the column's own type, so the filter reaches the scan
-        mark = F.timestamp_micros(F.lit(self.us)).cast(df.schema[ts].dataType)
+        mark = time_at(self.us, df.schema[ts].dataType)
         return time.isNotNull() & ((time < mark) | ((time == mark) & (F.col(row_id) <= self.last_id)))
 
 
@@ -64,8 +64,8 @@ def cut_at(
             b, before, _ = _bucket_with(cur, floor_div(F.col("us"), width), left)
             left -= before
             us = b * width
-            lo = F.timestamp_micros(F.lit(us)).cast(kind)
-            hi = F.timestamp_micros(F.lit(us + width)).cast(kind)
+            lo = time_at(us, kind)
+            hi = time_at(us + width, kind)
             cur = cur.where((F.col("t") >= lo) & (F.col("t") < hi))
     ends = cur.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
     lo, hi = ends["lo"], ends["hi"]

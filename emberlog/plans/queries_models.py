@@ -95,13 +95,14 @@ def m8(spark, d):
     return learner.predict(rows).select("event_id", "is_predicted_anomaly", (F.col("anomaly_score") > 0.5).alias("score_over_half"))
 
 
-@query("m9_feature_importance", "SELECT 'severity' AS feature, TRUE AS is_largest, count(*) AS n_rows FROM logs")
+@query("m9_feature_importance", """SELECT feature, feature = 'severity' AS is_largest, (SELECT count(*) FROM logs) AS n_rows
+FROM (VALUES ('severity'), ('load'), ('hour'), ('text_length')) AS f(feature)""", logs=True)
 def m9(spark, d):
     rows = materialize(plain_features(spark, d).withColumn("llm_label", F.col("is_anomaly").cast("int")), "classifier-rows")
     learner = WeakLabelClassifier(n_estimators=5).fit(rows, ["severity", "load", "hour", "text_length"])
     ranked = learner.feature_importance(spark)
-    best = ranked.limit(1).select("feature", (F.col("importance") > 0).alias("is_largest"))
-    return best.withColumn("n_rows", rows.agg(F.count("*")).scalar())
+    largest = ranked.agg(F.max("importance")).scalar()
+    return ranked.select("feature", (F.col("importance") == largest).alias("is_largest"), rows.agg(F.count("*")).scalar().alias("n_rows"))
 
 
 def rule_client():

@@ -138,7 +138,7 @@ def embedding_columns(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]
 @query("s7_model_roundtrip", "SELECT vec_id AS event_id, TRUE AS same_score, TRUE AS same_flag FROM embeddings", logs=False)
 def s7(spark, d):
     rows, names = embedding_columns(spark, d)
-    model = AnomalyDetector("isolation_forest", contamination=0.05, n_trees=50).fit(rows, names)
+    model = AnomalyDetector("isolation_forest", contamination=0.05).fit(rows, names)
     path = scratch_path(spark, "model")
     model.save(path)
     again = AnomalyDetector.load(spark, path)
@@ -289,7 +289,7 @@ def p13(spark, d):
 
 @query("p14_safe_names", """SELECT DISTINCT component, 'comp_' || lower(replace(replace(component || ' unit-A', ' ', '_'), '-', '_')) AS name FROM logs""")
 def p14(spark, d):
-    rows = value_counts(log_table(spark, d), "component", 20).select("component").collect()
+    rows = log_table(spark, d).select("component").distinct().collect()  # names of columns
     return spark.createDataFrame([(r["component"], S.safe_name(r["component"] + " unit-A")) for r in rows], "component string, name string")
 
 

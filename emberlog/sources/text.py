@@ -16,28 +16,32 @@ LINE_FIELDS = (
 BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines with their place: file, split offset, order in the split."""
-    return spark.read.text(path).select(
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Physical lines, numbered ``_line`` from 0 by file name and place in the file.
+
+    A scan knows a line's order only inside its split. Splits are counted (one
+    row each), and the counts before a split turn the order into the number, so
+    it is a function of the files, not of how they were split.
+    """
+    raw = spark.read.text(path).select(
         F.make_valid_utf8("value").alias("value"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_seq"),
     )
-
-
-def head_lines(lines: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` physical lines, by file name and position.
-
-    Counting is per split and rows are numbered only inside a split, so a line
-    limit in the millions is no single-task sort.
-    """
     split = ["_file", "_split"]
     before = W.orderBy(*split).rowsBetween(W.unboundedPreceding, -1)
-    starts = lines.groupBy(*split).count().select(*split, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(W.partitionBy(*split).orderBy("_seq"))
-    inside = lines.join(starts.where(F.col("_start") < n), split).withColumn("_place", place)
-    return inside.where(F.col("_start") + F.col("_place") <= n).drop("_start", "_place")
+    starts = raw.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+    starts = starts.select(*split, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return raw.join(starts, split).select("value", (F.col("_seq") + F.col("_shift")).alias("_line"))
+
+
+def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first ``n`` physical lines; only the first files by name that hold as many are read."""
+    files, most = sorted(spark.read.text(path).inputFiles()), 1
+    while most < len(files) and spark.read.text(files[:most]).limit(n).count() < n:
+        most *= 2
+    return read_lines(spark, files[:most] or path).where(F.col("_line") < n)
 
 
 def split_line(value: Column) -> Column:
@@ -58,12 +62,12 @@ def valid_line(value: Column) -> Column:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Typed log table; lines with fewer than nine fields are dropped.
 
-    ``event_id`` is the line's place in the scan: the same when a task is
-    repeated or the same files are read again, increasing within a file split.
+    ``event_id`` is the line's number over all files by name: the same whenever
+    the same files are read, however they are split.
     """
     # one row out per complete line: split once, where a filter in front would split again
     complete = F.filter(F.array(split_line(F.col("value"))), enough_fields)
-    fields = lines.select(F.col("_seq").alias("event_id"), F.explode(complete).alias("f"))
+    fields = lines.select(F.col("_line").alias("event_id"), F.explode(complete).alias("f"))
     named = fields.select("event_id", *[F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(LINE_FIELDS)])
     typed = named.select(
         "event_id", "label",
@@ -77,10 +81,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def load_logs(spark: SparkSession, path: str, nrows: int | None = None) -> DataFrame:
     """Parse log text; ``nrows`` counts physical lines. A missing path raises."""
-    lines = read_lines(spark, path)
-    if nrows is not None:
-        lines = head_lines(lines, nrows)
-    return parse_lines(lines)
+    return parse_lines(read_lines(spark, path) if nrows is None else head_lines(spark, path, nrows))
 
 
 def load_sample(spark: SparkSession, path: str, n: int = 10_000) -> DataFrame:
