@@ -73,7 +73,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = materialize(groups.withColumn("h", F.xxhash64("digest")), "groups")
     sizes = groups.groupBy("about").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).toPandas().sort_values("about", ascending=False)
     deal = longest_first(sizes["about"].to_numpy(), sizes["n"].to_numpy(), sizes["bytes"].to_numpy(), shards)
-    plan = pd.DataFrame({"about": sizes["about"].to_numpy(np.int64), "n": sizes["n"].to_numpy(np.int64), "ends": list(np.cumsum(deal, axis=1))})
+    plan = pd.DataFrame({"about": sizes["about"].to_numpy(np.int64), "n": sizes["n"].to_numpy(np.int64), "ends": np.cumsum(deal, axis=1).tolist()})
     plan = docs.sparkSession.createDataFrame(plan, "about long, n long, ends array<long>")
     cells = groups.join(plan, "about").withColumn("cell", cell_of(F.col("h"), F.col("n")))
     cells = cells.withColumn("o", F.col("h").bitwiseXOR(F.lit(-(1 << 63)).cast("long")))
