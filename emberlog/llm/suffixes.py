@@ -43,8 +43,8 @@ from emberlog.llm import kernels as K
 from emberlog.llm.tables import shuffle_parts
 from emberlog.session import materialize
 
-LENGTH, GRAM, SHARD_BYTES = 100, 32, 1 << 20
-PIECE = 1 << 20
+LENGTH, GRAM, SHARD_BYTES = 100, 32, 1 << 18
+PIECE, RUN_BYTES, ASKED_ROWS = 1 << 20, 8 << 20, 1 << 16
 LAST = (1 << 63) - 1  # stands for a missing id
 FIELDS = (("gram", np.uint64), ("digest", np.uint64), ("doc", np.int64), ("tie", np.int32), ("at", np.uint32), ("size", np.uint8))
 
@@ -112,11 +112,21 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _anchor_rows(batches, buckets: int):
-    """Blobs of snippets by gram bucket; of equal snippets of a batch only the earliest, the others as removed."""
+def _runs(batches):
+    """The batches in tables of about RUN_BYTES of text."""
     for batch in batches:
-        table = pa.Table.from_batches([batch]).sort_by([("doc", "ascending"), ("tie", "ascending")])
-        table = table.combine_chunks()
+        _, at = K.text_bytes(batch.column("text"))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + RUN_BYTES, "right")) - 1)
+            yield pa.Table.from_batches([batch.slice(lo, hi - lo)])
+            lo = hi
+
+
+def _anchor_rows(batches, buckets: int):
+    """Blobs of snippets by gram bucket; of equal snippets of a run of rows only the earliest, the others as removed."""
+    for table in _runs(batches):
+        table = table.sort_by([("doc", "ascending"), ("tie", "ascending")]).combine_chunks()
         doc, tie = table.column("doc").to_numpy(), table.column("tie").to_numpy()
         same = np.concatenate([[False], (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])])  # rows equal in id and text
         data, offs = K.text_bytes(table.column("text"))
@@ -276,6 +286,9 @@ def _window_words(data: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 def _found(table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Binary search of rows in a sorted table of rows: (place, whether it is there)."""
+    if len(asked) > ASKED_ROWS:
+        parts = [_found(table, asked[k : k + ASKED_ROWS]) for k in range(0, len(asked), ASKED_ROWS)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     lo, hi = np.zeros(len(asked), np.int64), np.full(len(asked), len(table), np.int64)
     while (lo < hi).any():
         mid = np.minimum((lo + hi) // 2, len(table) - 1)
@@ -379,27 +392,32 @@ def _squeezed(batches):
             ["doc", "tie", "doc_id", "z"])
 
 
+def _lists(column: pa.Array, names: tuple[str, ...]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and fields of a column of lists of structs (null: empty)."""
+    n = column.value_lengths().fill_null(0).to_numpy()
+    inner = column.flatten()
+    return np.concatenate([[0], np.cumsum(n)]), {c: inner.field(names.index(c)).to_numpy() for c in names}
+
+
 def _cut_snippets(batches):
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        buckets, docs, ties, grams, ats, raws, held = [], [], [], [], [], [], 0
-        names = ["bucket", "gram", "doc", "tie", "at", "raw"]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        for doc, tie, z, asked in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "z", "asked"))):
-            text = unpack.decompress(z)
-            for a in asked:
-                buckets.append(a["bucket"])
-                grams.append(a["gram"])
-                docs.append(doc)
-                ties.append(tie)
-                ats.append(a["at"])
-                raws.append(text[a["at"] : a["at"] + a["size"]])
-                held += a["size"]
-            if held > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((buckets, grams, docs, ties, ats, raws), kinds)], names)
-                buckets, docs, ties, grams, ats, raws, held = [], [], [], [], [], [], 0
-        if raws:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((buckets, grams, docs, ties, ats, raws), kinds)], names)
+        first, asked = _lists(batch.column("asked"), ("bucket", "gram", "at", "size"))
+        doc, tie, packed = batch.column("doc").to_numpy(), batch.column("tie").to_numpy(), batch.column("z")
+        lo = 0
+        while lo < batch.num_rows:
+            raws, held, hi = [], 0, lo
+            while hi < batch.num_rows and held < 8 << 20:
+                text = unpack.decompress(packed[hi].as_buffer())
+                for at, size in zip(asked["at"][first[hi] : first[hi + 1]].tolist(), asked["size"][first[hi] : first[hi + 1]].tolist()):
+                    raws.append(text[at : at + size])
+                    held += size
+                hi += 1
+            some, n = slice(first[lo], first[hi]), np.diff(first[lo : hi + 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(asked["bucket"][some]), pa.array(asked["gram"][some]), pa.array(np.repeat(doc[lo:hi], n)), pa.array(np.repeat(tie[lo:hi], n)),
+                 pa.array(asked["at"][some]), pa.array(raws, pa.binary())], ["bucket", "gram", "doc", "tie", "at", "raw"])
+            lo = hi
 
 
 CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -409,11 +427,15 @@ def _kept(batches):
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         out = []
-        for doc_id, z, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "z", "spans"))):
-            text = unpack.decompress(z)
+        first, spans = _lists(batch.column("spans"), ("at", "size"))
+        for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+            text = unpack.decompress(batch.column("z")[row].as_buffer())
             removed = runs = at = 0
             kept = hashlib.sha256()
-            for lo, hi in sorted((s["at"], s["at"] + s["size"]) for s in spans or ()):
+            own = slice(first[row], first[row + 1])
+            begin = spans["at"][own]
+            order = np.argsort(begin, kind="stable")
+            for lo, hi in zip(begin[order].tolist(), (begin + spans["size"][own])[order].tolist()):
                 if lo > at or not runs:
                     kept.update(text[at:lo])
                     runs += 1
