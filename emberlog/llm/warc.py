@@ -55,8 +55,8 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     return rows.join(shared.where("n > 1").drop("n"), "digest", "left")
 
 
-def write_warc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Archives of one record per page below ``path``."""
+def write_warc(pages: DataFrame, path: str, compression: str = "gzip", records_per_file: int = 50_000) -> None:
+    """Archives of one record per page below ``path``, at most ``records_per_file`` in a file."""
     rows = with_record_types(pages)
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     urn = lambda c: F.concat(F.lit(f"<{PAGE_URN}"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
@@ -71,7 +71,7 @@ def write_warc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
         F.when(revisit, F.concat(line("WARC-Refers-To", urn(F.col("first"))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", (F.octet_length(http) + F.octet_length(payload)).cast("string")), F.lit("\r\n"), http, payload)
-    out = rows.select(record.alias("value")).write.mode("overwrite").option("lineSep", "\r\n\r\n")
+    out = rows.select(record.alias("value")).write.mode("overwrite").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file)
     if compression:
         out = out.option("compression", compression)
     out.text(path)
