@@ -37,6 +37,18 @@ def m3(spark, d):
     return _scored(AnomalyDetector("isolation_forest", contamination=0.05), rows, names)
 
 
+@query("m3_forest_summary", """SELECT count(*) AS n_rows, count(*) - 1 - CAST(floor((count(*) - 1) * 0.95) AS BIGINT) AS n_flagged, TRUE AS in_range,
+TRUE AS flags_are_the_highest FROM embeddings""", logs=False)
+def m3_summary(spark, d):
+    """The quantile rule over all rows: how many are flagged, and that they score highest."""
+    rows, names = embedding_columns(spark, d)
+    scored = _scored(AnomalyDetector("isolation_forest", contamination=0.05), rows, names)
+    score, flag = F.col("anomaly_score"), F.col("is_predicted_anomaly")
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_if(flag).alias("n_flagged"), F.min((score > 0) & (score <= 1)).alias("in_range"),
+        (F.min(F.when(flag, score)) > F.max(F.when(~flag, score))).alias("flags_are_the_highest"))
+
+
 @query("m4_local_outlier_factor", """WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
 tr AS (SELECT * FROM e WHERE label < 8),
 dt AS (SELECT a.id, b.id AS nb, list_distance(a.v, b.v) AS dist FROM tr a JOIN tr b ON a.id <> b.id),
@@ -190,6 +202,15 @@ def m14(spark, d):
     return jobs.holdout_predictions(whole, detector).select("event_id", "node", "is_anomaly", "anomaly_score", "is_predicted_anomaly")
 
 
+@query("m14_holdout_summary", f"""WITH {TRAIN_SQL} SELECT count(*) AS n_rows, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_anomalies,
+0.0::DOUBLE AS lowest, 1.0::DOUBLE AS highest FROM pos WHERE rn > floor(total * 0.8)""")
+def m14_summary(spark, d):
+    """The stored holdout: its rows, its true anomalies, and the scale of its scores."""
+    return m14(spark, d).agg(
+        F.count("*").alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"), F.min("anomaly_score").alias("lowest"),
+        F.max("anomaly_score").alias("highest"))
+
+
 @query("m14_detector_comparison")
 def m14_compare(spark, d):
     """All three detectors on the holdout, evaluated and ranked by F1."""
