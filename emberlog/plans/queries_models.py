@@ -207,8 +207,8 @@ def m14(spark, d):
 def m14_summary(spark, d):
     """The stored holdout: its rows, its true anomalies, and the scale of its scores."""
     return m14(spark, d).agg(
-        F.count("*").alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"), F.min("anomaly_score").alias("lowest"),
-        F.max("anomaly_score").alias("highest"))
+        F.count("*").alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"), F.round(F.min("anomaly_score"), 6).alias("lowest"),
+        F.round(F.max("anomaly_score"), 6).alias("highest"))
 
 
 @query("m14_detector_comparison")
