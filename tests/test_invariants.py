@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlog.functions.responses import parse_answers
-from emberlog.operators import boundary, drift, forest
+from emberlog.operators import boundary, drift, forest, neighbors
 from emberlog.operators.prefix import epoch_us, range_totals, time_at
 from emberlog.sources import text
 
@@ -84,3 +84,21 @@ def test_answers_with_text_behind_the_object(spark):
     got = {r["id"]: (r["resumen"], r["severidad"]) for r in parse_answers(df).collect()}
     assert got[0] == ("a", "HIGH") and got[1] == ("b", "LOW") and got[2] == ("c", "MEDIUM")
     assert parse_answers(df).where("id = 1").first()["causa_probable"] == "N/A"
+
+
+@pytest.mark.parametrize("kind", ["grid", "far"])
+def test_neighbours_equal_brute_force_on_ties_and_far_from_the_origin(spark, kind, monkeypatch):
+    monkeypatch.setattr(neighbors, "ROWS_PER_CELL", 40)
+    rng = np.random.default_rng(9)
+    data = rng.integers(0, 4, (160, 3)).astype(float) if kind == "grid" else rng.normal(1e9, 3.0, (160, 3))
+    rows = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(data)], "id long, vec array<double>")
+    train, asked = rows.where("id < 120"), rows.where("id >= 120")
+    pivots = neighbors.choose_pivots(train, 120)
+    cells = neighbors.assign_cells(train, pivots)
+    got = {}
+    for r in neighbors.nearest_neighbours(asked, cells, pivots, 7).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
+    for k in range(120, 160):
+        dist = np.sqrt(((data[k] - data[:120]) ** 2).sum(1))
+        want = sorted(range(120), key=lambda j: (dist[j], j))[:7]
+        assert [n for _, n in sorted(got[k])] == want
