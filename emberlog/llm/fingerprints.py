@@ -34,7 +34,7 @@ from emberlog.llm import kernels as K
 from emberlog.llm.tables import shuffle_parts
 from emberlog.operators.prefix import with_bucket
 
-EXACT, LIKE, SHINGLE, MOST_RANGES = 32, 128, 3, 65_536
+EXACT, LIKE, SHINGLE, MOST_RANGES, DRAWN = 32, 128, 3, 65_536, 32
 
 
 def paragraphs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,13 +99,21 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a == b).all(1), 1.0, np.clip(cosine, 0.0, 1.0))
 
 
+def _cuts(rows: DataFrame, ranges: int) -> list[float]:
+    """Range borders at even steps of about ``DRAWN * ranges`` ids drawn by hash; they only balance the work."""
+    n = rows.where("doc_id is not null").count()
+    share = min(1 << 30, (DRAWN * ranges << 30) // max(n, 1) + 1)
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("doc_id").distinct()
+    ids = np.sort(np.array([r[0] for r in drawn.collect() if r[0] is not None], np.float64))
+    return sorted(set(ids[np.linspace(0, len(ids) - 1, ranges + 1)[1:-1].astype(int)].tolist())) if len(ids) else []
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows ``doc_id, text`` in order of id by key range (``_bucket``); each range ends with a ``last`` row, its successor."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = min(MOST_RANGES, 4 * shuffle_parts(spark))
-    cuts = rows.agg(F.percentile_approx(F.col("doc_id").cast("double"), [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
-    placed = with_bucket(rows, "doc_id", sorted(set(cuts or []))).withColumn("_bucket", F.coalesce("_bucket", F.lit(float(ranges))))
+    placed = with_bucket(rows, "doc_id", _cuts(rows, ranges)).withColumn("_bucket", F.coalesce("_bucket", F.lit(float(ranges))))
     firsts = placed.groupBy("_bucket").agg(F.min("doc_id").alias("doc_id")).orderBy("_bucket").collect()  # a row per range
     if not firsts:
         return placed.withColumn("last", F.lit(False))
