@@ -244,7 +244,10 @@ def _zeros(states: int, classes: int) -> list[np.ndarray]:
 
 def seed_model(docs: DataFrame, words: Vocabulary, states: int, seeds: int, rounds: int) -> Model:
     """Baum-Welch on at most ``seeds`` documents, in one task."""
-    sample = docs.select(F.xxhash64("doc_id", "text").alias("o"), "text").orderBy("o").limit(seeds)
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("o"), "text")
+    # first the hashes alone: tasks send no texts that aren't drawn
+    last = hashed.select("o").distinct().orderBy("o").limit(seeds).agg(F.max("o")).first()[0]
+    sample = hashed.where(F.col("o") <= (last if last is not None else 0)).groupBy("o").agg(F.min("text").alias("text"))
     shape = words.classes, states
 
     def run(batches):
