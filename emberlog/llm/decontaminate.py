@@ -1,22 +1,24 @@
 """Benchmark passages in documents: SimHash of item-sized windows, Hamming multi-index, exact check.
 
 An item is a sequence of words (A-Z lowered); its windows in a document are the
-runs of as many words. A window's 64-bit SimHash sums word and word-pair hashes.
+runs of as many words; a document of fewer words than the item is the one window
+of that item as a whole. A window's 64-bit SimHash sums word and word-pair hashes.
 A multi-index over the items' fingerprints (``BLOCKS`` blocks of 16 bits, each
 listed under all values that differ in at most ``RADIUS // BLOCKS`` bits) names
 every item within ``RADIUS`` bits of a window: a fingerprint that near differs in
 no more than that in some block. Named items are checked exactly: the weighted
 similarity of the two multisets of 5-word shingles, sum of minima over sum of
 maxima, must reach ``threshold``. A similarity above 0 needs a common shingle, so
-windows that share none with an item of their length are never fingerprinted;
-that skips no pair the check could accept.
+windows that share none with an item they are compared to are never
+fingerprinted; that skips no pair the check could accept.
 
 The benchmark goes through in blocks of ``block_items`` items (a bounded closure
 each), all documents against every block. Documents are never shuffled.
 
 Defined cases: null or empty texts and items without words match nothing; an
 item of fewer than five words is one shingle, found by equality; items that
-repeat, or share an id, are reported alike, once per id and document row. A
+repeat, or share an id, are reported alike, once per id and document row; an
+item without an id counts by its text and is reported under the null id. A
 passage that occurs more than once in a document is reported where it is most
 similar, then first. Extra columns are ignored by ``leaks`` and kept by ``clean``.
 """
@@ -65,12 +67,12 @@ def fingerprint(h: np.ndarray) -> np.uint64:
 class Items:
     """The multi-index over a block of items ``(item_id, text)``."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         data, at = K.text_bytes(pa.array([t or "" for _, t in items], pa.string()))
         w = K.words(data, at)
         size = np.diff(w.first)
         keep = [i for i in range(len(items)) if size[i]]
-        self.ids = np.array([items[i][0] for i in keep], np.int64)
+        self.ids = [items[i][0] for i in keep]
         self.size = size[keep]
         own = [w.hash[w.first[i] : w.first[i + 1]] for i in keep]
         self.prints = np.array([fingerprint(h) for h in own], np.uint64)
@@ -96,7 +98,7 @@ class Items:
         self.first = np.searchsorted(keys[order], np.arange((BLOCKS << 16) + 1))
 
     def windows(self, w: K.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, words) of the windows that share a shingle with an item of their length."""
+        """(first word, words) of the windows that share a shingle with an item of their length, or a longer one if they are a whole row."""
         starts, sizes = [], []
         for k in self.runs:
             h, hfirst = K.shingles(w, k)
@@ -109,8 +111,11 @@ class Items:
             row = np.searchsorted(hfirst, np.repeat(maybe, n), "right") - 1
             at = np.repeat(maybe, n) - hfirst[row] + w.first[row]
             size = self.size[item]
-            fits = (np.minimum(size, K_WORDS) == k) & (size <= np.diff(w.first)[row])
-            hit = np.unique(np.stack([row, at, size])[:, fits], axis=1)
+            fits, short = np.minimum(size, K_WORDS) == k, size > np.diff(w.first)[row]
+            few = np.unique(row[fits & short])
+            starts.append(w.first[few])
+            sizes.append(np.diff(w.first)[few])
+            hit = np.unique(np.stack([row, at, size])[:, fits & ~short], axis=1)
             row, at, size = hit
             low = np.maximum(w.first[row], at + k - size)
             high = np.minimum(at, w.first[row + 1] - size)
@@ -139,15 +144,16 @@ class Items:
         a = to[start]
         return _pack(words[a + size] - words[a] + pairs[a + size - 1] - pairs[a])
 
-    def within(self, prints: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, distance) of all pairs of one length within RADIUS bits."""
+    def within(self, prints: np.ndarray, size: np.ndarray, whole: np.ndarray | bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, item, distance) of all pairs within RADIUS bits that have one length, or a longer item where the window is a whole row."""
+        whole = np.broadcast_to(whole, len(prints))
         found = []
         for b in range(BLOCKS):
             key = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64) + (b << 16)
             n = self.first[key + 1] - self.first[key]
             item = self.listed[np.repeat(self.first[key], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
             win = np.repeat(np.arange(len(prints)), n)
-            same = self.size[item] == size[win]
+            same = (self.size[item] == size[win]) | (whole[win] & (self.size[item] > size[win]))
             found.append(win[same] * np.int64(len(self.ids)) + item[same])
         pair = np.unique(np.concatenate(found))
         win, item = pair // max(len(self.ids), 1), pair % max(len(self.ids), 1)
@@ -155,7 +161,7 @@ class Items:
         near = far <= RADIUS
         return win[near], item[near], far[near]
 
-    def matches(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, float, int, int, int]]:
+    def matches(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int | None, float, int, int, int]]:
         """(row, item id, similarity, first word, words, distance), the best one per row and item id."""
         data, at = K.text_bytes(column)
         for base, _, part, offs in K.pieces(data, at):
@@ -166,29 +172,29 @@ class Items:
 
     def _checked(self, w: K.Words, start, size, base: int, threshold: float):
         prints = self.prints_of(w, start, size)
-        for win, item, far in zip(*self.within(prints, size)):
-            s, n = int(start[win]), int(size[win])
-            row = int(np.searchsorted(w.first, s, "right")) - 1
+        rows = np.searchsorted(w.first, start, "right") - 1
+        for win, item, far in zip(*self.within(prints, size, size == np.diff(w.first)[rows])):
+            s, n, row = int(start[win]), int(size[win]), int(rows[win])
             run = K.Words(w.start, w.end, w.hash[s : s + n], np.array([0, n]))
             bag, other = Counter(K.shingles(run, K_WORDS)[0].tolist()), self.bags[item]
             low = (bag & other).total()
             high = bag.total() + other.total() - low
             if low >= threshold * high:
-                yield base + row, int(self.ids[item]), low / high, s - int(w.first[row]), n, int(far)
+                yield base + row, self.ids[item], low / high, s - int(w.first[row]), n, int(far)
 
 
-def _best(found) -> dict[tuple[int, int], tuple]:
+def _best(found) -> dict[tuple[int, int | None], tuple]:
     """The most similar, then first, match per row and item id."""
-    best: dict[tuple[int, int], tuple] = {}
+    best: dict[tuple[int, int | None], tuple] = {}
     for row, item, sim, at, n, far in found:
         if (row, item) not in best or (-sim, at) < (-best[row, item][0], best[row, item][1]):
             best[row, item] = (sim, at, n, far)
     return best
 
 
-def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark in blocks; the driver holds one partition of it at a time."""
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null and item_id is not null").toLocalIterator()
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null").toLocalIterator()
     pairs = ((r[0], r[1]) for r in rows)
     while block := list(islice(pairs, block_items)):
         yield block

@@ -218,6 +218,31 @@ def test_leaks_equal_brute_force(spark, make_docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, _ in rows + ODD if i not in dirty)
 
 
+def test_documents_shorter_than_an_item_and_items_without_an_id(spark, make_docs):
+    rng = random.Random(11)
+    long = [[f"u{rng.randrange(400)}" for _ in range(n)] for n in (59, 59, 30, 12)]
+    items = [(k, " ".join(v)) for k, v in enumerate(long[:3])] + [(None, " ".join(long[3])), (9, "one two three")]
+    rows = [(n * 100 + k, " ".join(v[:n])) for k, v in enumerate(long) for n in (3, 8, 11, 27, 55, 58) if n < len(v)]
+    rows += [(7001, " ".join(long[0][4:])), (7002, " ".join(long[3])), (7003, "x y " + " ".join(long[3][1:]) + " z"), (7004, "one two")]
+    bag = lambda w: Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+    want = {}
+    for i, t in rows:
+        w = words_of(t)
+        for item, text in items:
+            v = words_of(text)
+            for s in range(max(1, len(w) - len(v) + 1)):
+                a, b = bag(w[s : s + len(v)]), bag(v)
+                sim = (a & b).total() / (a | b).total()
+                if sim >= 0.8 and sim > want.get((i, item), (0,))[0]:
+                    want[i, item] = (sim, s, min(len(v), len(w)))
+    assert {(5500, 0), (5501, 1), (2702, 2), (1103, None), (7001, 0), (7002, None)} <= set(want)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (512, 2):
+        got = D.leaks(make_docs(rows), bench, block_items=block).collect()
+        assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["word_start"], r["n_words"]) for r in got} == want and len(got) == len(want)
+        assert sorted(r["doc_id"] for r in D.clean(make_docs(rows), bench, block_items=block).collect()) == sorted({i for i, _ in rows} - {i for i, _ in want})
+
+
 def test_multi_index_names_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(3)
     index = D.Items([(k, " ".join(f"q{rng.integers(90)}" for _ in range(20))) for k in range(50)])
