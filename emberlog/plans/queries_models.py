@@ -103,7 +103,7 @@ def plain_features(spark, d):
 @query("m8_boosted_classifier", "SELECT event_id, is_anomaly AS is_predicted_anomaly, is_anomaly AS score_over_half FROM logs")
 def m8(spark, d):
     rows = materialize(plain_features(spark, d).withColumn("llm_label", F.col("is_anomaly").cast("int")), "classifier-rows")
-    learner = WeakLabelClassifier(n_estimators=20).fit(rows, ["severity", "load", "hour", "text_length"])
+    learner = WeakLabelClassifier().fit(rows, ["severity", "load", "hour", "text_length"])
     return learner.predict(rows).select("event_id", "is_predicted_anomaly", (F.col("anomaly_score") > 0.5).alias("score_over_half"))
 
 
@@ -111,7 +111,7 @@ def m8(spark, d):
 FROM (VALUES ('severity'), ('load'), ('hour'), ('text_length')) AS f(feature)""", logs=True)
 def m9(spark, d):
     rows = materialize(plain_features(spark, d).withColumn("llm_label", F.col("is_anomaly").cast("int")), "classifier-rows")
-    learner = WeakLabelClassifier(n_estimators=5).fit(rows, ["severity", "load", "hour", "text_length"])
+    learner = WeakLabelClassifier().fit(rows, ["severity", "load", "hour", "text_length"])
     ranked = learner.feature_importance(spark)
     largest = ranked.agg(F.max("importance")).scalar()
     return ranked.select("feature", (F.col("importance") == largest).alias("is_largest"), rows.agg(F.count("*")).scalar().alias("n_rows"))
@@ -163,7 +163,7 @@ def m11(spark, d):
  'ground_truth (' || count(*) || ' samples)' AS labels_source FROM pos WHERE rn <= floor(total * 0.8)""")
 def m12(spark, d):
     features = materialize(plain_features(spark, d), "plain-features")
-    return jobs.retrain_job(features, None, None, WeakLabelClassifier(n_estimators=10)).drop("retrain_time_ms")
+    return jobs.retrain_job(features, None, None, WeakLabelClassifier()).drop("retrain_time_ms")
 
 
 @query("m12_retrain_weak_labels")
@@ -172,7 +172,7 @@ def m12_weak(spark, d):
     train, _ = temporal_split(features)
     detector = AnomalyDetector("isolation_forest", contamination=0.05).fit(train, jobs.feature_names(features))
     labels = I.weak_labels(train, train)
-    return jobs.retrain_job(features, labels, detector, WeakLabelClassifier(n_estimators=10)).drop("retrain_time_ms")
+    return jobs.retrain_job(features, labels, detector, WeakLabelClassifier()).drop("retrain_time_ms")
 
 
 def _fitted(spark, d):
