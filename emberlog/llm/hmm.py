@@ -20,9 +20,10 @@ such word is frequent enough to be a hot key.
 Training. Baum-Welch: every round, tasks run scaled forward and backward
 recursions over segments of at most ``SEGMENT`` tokens and add up expected counts
 (state moves, state starts, state by class); partial sums meet in a grouped sum
-and the driver gets one row per class (at most ``OWN + ENDINGS + 1``). The first
-rounds run on ``SEEDS`` documents drawn by id hash to break the symmetry between
-states; the last ``ROUNDS`` run on every training document.
+and the driver gets one row per class (at most ``OWN + ENDINGS + 1``). Noise on
+the classes' totals breaks the symmetry between states. Every round runs on every
+training document, whose classes are written once; rounds go on until the
+log-likelihood of the corpus rises by no more than ``GAIN`` of itself.
 
 Scoring. The scaled forward recursion runs over whole documents; the logarithms
 of its scales add up to the exact log-likelihood of the class sequence, to which
@@ -48,7 +49,7 @@ from emberlog.session import materialize
 
 STATES, OWN, ENDINGS, ENDING_BYTES = 8, 8192, 2048, 3
 SHIPPED, ADD = 1 << 20, 0.1
-SEEDS, SEED_ROUNDS, ROUNDS, SEGMENT = 1024, 8, 1, 512
+GAIN, SEGMENT = 1e-5, 512
 GROUP_TOKENS = 1 << 19
 SMOOTH = 0.05
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token's hash
@@ -118,6 +119,10 @@ class Vocabulary(NamedTuple):
         known = self.hash[place] == t.hash
         return np.where(known & (self.klass[place] >= 0), self.klass[place], self.own + t.ending), place, known
 
+    def class_totals(self) -> np.ndarray:
+        """Tokens of each class, shared classes smoothed."""
+        return np.concatenate([self.count[self.klass >= 0].astype(float), np.exp(self.rest)])
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     row = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -189,10 +194,11 @@ def forward(klass: np.ndarray, first: np.ndarray, size: np.ndarray, model: Model
     return out
 
 
-def expected(klass: np.ndarray, first: np.ndarray, size: np.ndarray, fresh: np.ndarray, model: Model, into: list[np.ndarray]) -> None:
-    """Add the expected counts of segments to ``into`` (start, again, move, emit); ``fresh``: begins a document."""
+def expected(klass: np.ndarray, first: np.ndarray, size: np.ndarray, fresh: np.ndarray, model: Model, into: list[np.ndarray]) -> float:
+    """Add the expected counts of segments to ``into`` (start, again, move, emit) and return their log-likelihood; ``fresh``: begins a document."""
     states = len(model.start)
     start, again, move, emit = into
+    likely = 0.0
     for at, n, order in _groups(first, size):
         alive = np.searchsorted(-n, -np.arange(n[0]), "left")
         offset = np.concatenate([[0], np.cumsum(alive)])
@@ -211,6 +217,7 @@ def expected(klass: np.ndarray, first: np.ndarray, size: np.ndarray, fresh: np.n
             scale = alpha.sum(1)
             alpha /= scale[:, None]
             alphas[here], scales[here] = alpha, scale
+        likely += float(np.log(scales).sum(dtype=np.float64))
         beta = np.ones((alive[-1], states), np.float32)
         for t in range(n[0] - 1, -1, -1):
             here = slice(offset[t], offset[t + 1])
@@ -227,6 +234,7 @@ def expected(klass: np.ndarray, first: np.ndarray, size: np.ndarray, fresh: np.n
             alphas[here] = gamma
         for s in range(states):
             emit[:, s] += np.bincount(ids, weights=alphas[:, s], minlength=len(emit))
+    return likely
 
 
 def segments(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,69 +250,58 @@ def _zeros(states: int, classes: int) -> list[np.ndarray]:
     return [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))]
 
 
-def seed_model(docs: DataFrame, words: Vocabulary, states: int, seeds: int, rounds: int) -> Model:
-    """Baum-Welch on at most ``seeds`` documents, in one task."""
-    hashed = docs.select(F.xxhash64("doc_id", "text").alias("o"), "text")
-    # first the hashes alone: tasks send no texts that aren't drawn
-    last = hashed.select("o").distinct().orderBy("o").limit(seeds).agg(F.max("o")).first()[0]
-    sample = hashed.where(F.col("o") <= (last if last is not None else 0)).groupBy("o").agg(F.min("text").alias("text"))
-    shape = words.classes, states
+def class_rows(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """``classes``: the token classes of each document as 16-bit numbers."""
+    book = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        klass, first, size, fresh, held = [], [], [], [], 0
         for batch in batches:
             for _, _, t in tokens(batch.column("text")):
-                at, n, new = segments(t.first)
-                klass.append(words.classify(t)[0])
-                first.append(at + held)
-                size.append(n)
-                fresh.append(new)
-                held += len(t.hash)
-        if not held:
-            return
-        klass, first, size, fresh = map(np.concatenate, (klass, first, size, fresh))
-        model = first_model(np.bincount(klass, minlength=shape[0]).astype(float), states)
-        for _ in range(rounds):
-            into = _zeros(states, shape[0])
-            expected(klass, first, size, fresh, model, into)
-            model = model_of(*into)
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in model], list(Model._fields))
-
-    found = sample.repartition(1).sortWithinPartitions("o").mapInArrow(run, ", ".join(f"{f} binary" for f in Model._fields)).collect()
-    if not found:
-        return first_model(np.ones(shape[0]), states)
-    start, again, move, emit = (np.frombuffer(found[0][f]) for f in Model._fields)
-    return Model(start, again, move.reshape(states, states), emit.reshape(shape))
-
-
-def baum_welch_round(docs: DataFrame, words: Vocabulary, model: Model) -> Model:
-    """One round over all of ``docs``: expected counts by task, summed by class."""
+                klass = book.value.classify(t)[0].astype(np.int16)  # classes are far fewer than 2^15
+                buffers = [None, pa.py_buffer((2 * t.first).astype(np.int32)), pa.py_buffer(klass)]
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(t.first) - 1, buffers)], ["classes"])
+
+    return materialize(docs.select("text").mapInArrow(run, "classes binary"), "classes")
+
+
+def baum_welch_round(rows: DataFrame, words: Vocabulary, model: Model) -> tuple[Model, float]:
+    """One round over all ``class_rows``: expected counts by task, summed by class; also the log-likelihood under ``model``."""
     states, classes = len(model.start), words.classes
-    given, book = docs.sparkSession.sparkContext.broadcast(model), docs.sparkSession.sparkContext.broadcast(words)
+    given = rows.sparkSession.sparkContext.broadcast(model)
     names = [f"s{i}" for i in range(states)]
 
     def run(batches):
-        into = _zeros(states, classes)
+        into, likely = _zeros(states, classes), 0.0
         for batch in batches:
-            for _, _, t in tokens(batch.column("text")):
-                expected(book.value.classify(t)[0], *segments(t.first), given.value, into)
-        # rows: classes, then moves, start, later starts
-        rows = np.concatenate([into[3], into[2], into[0][None], into[1][None]])
+            column = batch.column("classes").cast(pa.large_binary())
+            _, offsets, data = column.buffers()
+            at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+            for _, _, part, offs in K.pieces(np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]):
+                likely += expected(part.view(np.int16), *segments(offs // 2), given.value, into)
+        # rows: classes, then moves, start, later starts, likelihood
+        rows = np.concatenate([into[3], into[2], into[0][None], into[1][None], np.full((1, states), likely)])
         some = np.flatnonzero(rows.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(rows[some, s]) for s in range(states)]], ["row", *names])
 
-    sums = docs.select("text").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
+    sums = rows.mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
     table = sums.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    rows = np.zeros((classes + states + 2, states))
-    rows[table["row"].to_numpy()] = table[names].to_numpy()
-    return model_of(rows[-2], rows[-1], rows[classes:-2], rows[:classes])
-
-
-def train(docs: DataFrame, words: Vocabulary, states: int = STATES, seeds: int = SEEDS, seed_rounds: int = SEED_ROUNDS, rounds: int = ROUNDS) -> Model:
-    model = seed_model(docs, words, states, seeds, seed_rounds)
-    for _ in range(rounds):
-        model = baum_welch_round(docs, words, model)
-    return model
+    given.unpersist()
+    out = np.zeros((classes + states + 3, states))
+    out[table["row"].to_numpy()] = table[names].to_numpy()
+    return model_of(out[-3], out[-2], out[classes:-3], out[:classes]), float(out[-1, 0])
+
+
+def train(docs: DataFrame, words: Vocabulary, states: int = STATES, gain: float = GAIN) -> Model:
+    """Rounds over all of ``docs`` until the log-likelihood rises by no more than ``gain`` of itself."""
+    model, last = first_model(words.class_totals(), states), -np.inf
+    if not words.total:
+        return model
+    rows = class_rows(docs, words)
+    while True:
+        model, likely = baum_welch_round(rows, words, model)
+        if likely - last <= gain * abs(likely):
+            return model
+        last = likely
 
 
 SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, h long, times long")

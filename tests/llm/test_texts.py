@@ -123,6 +123,24 @@ def test_scores(make_docs, rare_words_are_joined):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_training_goes_on_until_the_corpus_is_no_likelier(make_docs):
+    rng = random.Random(12)
+    tongues = [[f"{c}{k}" for k in range(30)] for c in "abcdef"]
+    rows = []
+    for i in range(2400):  # one tongue has one document in 200
+        v = tongues[5] if i % 200 == 7 else tongues[i % 5]
+        rows.append((i, " ".join(rng.choice(v[: 1 + rng.randrange(30)]) for _ in range(rng.randrange(1, 25)))))
+    docs = make_docs(rows)
+    words = H.vocabulary(H.word_counts(docs))
+    model = H.train(docs, words)
+    t = next(H.tokens(pa.array([t for _, t in rows])))[2]
+    klass, size = words.classify(t)[0], np.diff(t.first)
+    into = H._zeros(len(model.start), words.classes)
+    H.expected(klass, *H.segments(t.first), model, into)
+    before, after = (H.forward(klass, t.first[:-1], size, m).sum() for m in (model, H.model_of(*into)))
+    assert after - before <= 2e-5 * abs(after)
+
+
 def test_score_without_training_rows(make_docs):
     got = H.score(make_docs([(1, "a b"), (2, None)]), F.lit(True)).collect()
     assert {(r["doc_id"], r["n_known"], r["train_tokens"]) for r in got} == {(1, 0, 0), (2, 0, 0)}
