@@ -306,6 +306,18 @@ def test_secret_spans_and_ownership(make_docs):
     assert got[9002]["spans"] == "" and got[9002]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_examples_of_a_hot_source_and_copied_documents_with_a_real_secret(make_docs):
+    example, own, kept, given = "hT7dkQ2mZx9Lp4RwVb8Ns", "q7Wm2ZxT9pLk4VbN8sRd5", "Yb3nK8vQe1Rt6Ux0Pj5Wc", "Gm4zD9fHs2La7Oi1Ck6Te"
+    rows = [(i, f"page {i} shows {example} here", "hot") for i in range(60)]
+    rows += [(100 + i, f"our {own} key", s) for i, s in enumerate("abaabb")]  # copies of one text
+    rows += [(200, f"first {kept} text", "a"), (201, f"first {kept} text", "b"), (202, f"second {kept} text", "b")]
+    rows += [(300, f"first {given} text", "a"), (301, f"second {given} text", "b")]
+    got = {r["doc_id"]: r for r in C.secret_report(make_docs(rows)).collect()}
+    assert len(got) == len(rows)
+    live = {i for i, r in got.items() if "owned" in r["spans"]}
+    assert live == {i for i, _, _ in rows if 100 <= i < 300} and {i for i, r in got.items() if r["n_live"]} == live
+
+
 def test_ownership_counts_distinct_holders(spark):
     spans = spark.createDataFrame([(1, "o1", "r1"), (1, "o1", "r1"), (1, "o1", "r2"), (1, "o2", "r3"), (2, "o1", None)], "hash long, owner string, repository string")
     assert {tuple(r) for r in C.ownership(spans).collect()} == {(1, 3, 2), (2, 1, 1)}
