@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import kernels as K
 
-THRESHOLD, K_WORDS, RADIUS, BLOCKS, BLOCK_ITEMS = 0.8, 5, 15, 4, 512
+THRESHOLD, K_WORDS, RADIUS, BLOCKS, BLOCK_ITEMS = 0.8, 5, 19, 4, 512
 LANES = np.arange(64, dtype=np.uint64)
 
 

@@ -270,6 +270,29 @@ def test_multi_index_names_every_fingerprint_within_the_radius():
         assert {(k, k) for k in range(50)} <= set(zip(win.tolist(), item.tolist())) and (dist <= D.RADIUS).all()
 
 
+def test_similar_windows_whose_fingerprints_are_far_are_found():
+    rng = random.Random(2)
+    bag = lambda w: Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    new = lambda k: [f"new{rng.randrange(10**9)}" for _ in range(k)]
+    far = []
+    for item in range(40):
+        v = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(45, 60))]
+        edits = [v]
+        for _ in range(300):
+            k = rng.randrange(3, 7)
+            i = rng.randrange(k + 1)
+            e = new(i) + v[i : len(v) - (k - i)] + new(k - i)
+            if (bag(v) & bag(e)).total() >= 0.8 * (bag(v) | bag(e)).total():
+                edits.append(e)
+        w = K.words(*K.text_bytes(pa.array([" ".join(e) for e in edits])))
+        prints = [int(D.fingerprint(w.hash[a:b])) for a, b in itertools.pairwise(w.first)]
+        texts = [" ".join(e) for e, f in zip(edits, prints) if 15 < (f ^ prints[0]).bit_count() < 20]
+        far += texts
+        found = {m[0] for m in D.Items([(item, " ".join(v))]).matches(pa.array(texts, pa.string()), 0.8)}
+        assert found == set(range(len(texts)))
+    assert far
+
+
 def test_no_benchmark(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(make_docs(ODD), none).collect() == [] and D.clean(make_docs(ODD), none).count() == len(ODD)
