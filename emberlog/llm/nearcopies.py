@@ -9,7 +9,8 @@ form a class; classes are joined, not their copies.
    node of at most ``small`` classes is compared exhaustively. A larger one
    branches by the next minwise value, down to ``depth``. Two sets of similarity
    s meet in a tree with probability at least s ** depth, so ``trees``
-   independent trees reach the recall asked for (``missed``).
+   independent trees reach the recall asked for (``missed``); unless given, there
+   are as many as the threshold needs to miss at most ``MISS`` (``trees_for``).
 3. Comparing in a node means comparing minwise values (a candidate link needs an
    estimate well below the threshold). A node that is still large at the last
    level has so much in common that all its classes become candidates.
@@ -38,7 +39,7 @@ from emberlog.llm.graph import components
 from emberlog.llm.tables import shuffle_parts
 from emberlog.session import materialize
 
-TREES, DEPTH, SMALL, CHUNK = 10, 5, 32, 1024
+TREES, DEPTH, SMALL, CHUNK, MISS = 10, 5, 32, 1024, 0.003
 SKETCH = "doc_id long, th long, n_shingles long, d1 long, d2 long, sig binary"
 
 
@@ -47,6 +48,12 @@ def missed(similarity: float, trees: int = TREES, depth: int = DEPTH) -> float:
     return (1 - similarity**depth) ** trees
 
 
+def trees_for(similarity: float, depth: int = DEPTH, miss: float = MISS) -> int:
+    """The least number of trees for which ``missed`` is at most ``miss``."""
+    meet = similarity**depth
+    return 1 if meet >= 1 else max(1, int(np.ceil(np.log(miss) / np.log1p(-meet))))
+
+
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     base = K.mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * K.GOLDEN)
     return base[:n], base[n:] | np.uint64(1)
@@ -253,9 +260,10 @@ def near_links(docs: DataFrame, classes: DataFrame, num: int, den: int, k: int =
     return links.unionAll(materialize(more, "links"))
 
 
-def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, k: int = 5, trees: int = TREES, depth: int = DEPTH,
+def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, k: int = 5, trees: int | None = None, depth: int = DEPTH,
                     small: int = SMALL, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row; link: |A & B| / |A | B| >= num / den."""
+    trees = trees_for(num / den, depth) if trees is None else trees
     rows = materialize(sketches(docs, k, trees * depth), "sketches")
     linked = rows.where("n_shingles > 0 and doc_id is not null")
     classes = linked.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("sig").alias("sig"))

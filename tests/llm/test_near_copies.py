@@ -100,6 +100,16 @@ def test_recall_bound():
     assert N.missed(0.85) < 0.01 and N.missed(0.8) < 0.02
 
 
+def test_trees_follow_the_threshold(make_docs, monkeypatch):
+    for s in (0.7, 0.8, 0.85, 0.95):
+        assert N.missed(s, N.trees_for(s)) <= N.MISS < N.missed(s, N.trees_for(s) - 1)
+    assert N.trees_for(1.0) == 1
+    asked, sketch = [], N.sketches
+    monkeypatch.setattr(N, "sketches", lambda docs, k, n: asked.append(n) or sketch(docs, k, n))
+    N.keep_one(make_docs([(1, "a b c d e f")]))
+    assert N.missed(0.8, asked[0] // N.DEPTH) <= N.MISS
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r["v"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
