@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import decontaminate, fingerprints, hmm, mixing, nearcopies, secrets, sharding, suffixes, toxicity, warc
+from emberlog.llm import decontaminate, fingerprints, hmm, mixing, multiindex, nearcopies, secrets, sharding, spelling, suffixes, toxicity, warc, whitening
 from emberlog.llm.tables import id_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_nearest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.nearest_rows(table(spark, sf_dir, "embeddings"), every=20)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op10_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest FROM p),
 f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
