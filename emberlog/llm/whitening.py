@@ -154,13 +154,11 @@ class Whitening:
 
 def fit_whitening(fit: DataFrame, width: int, components: int = COMPONENTS) -> Whitening | None:
     n, sums = exact_sums(fit, width)
-    if not n or not width:
+    if n < 2 or not width:
         return None
     centre = Centre.of(n, sums)
     _, s, directions = np.linalg.svd(triangle(fit, centre))
-    some = min(components, int((s > RANK * s[0]).sum()) if centre.n > 1 else 0)
-    if not some or not s[0]:
-        return None
+    some = min(components, int((s > RANK * s[0]).sum()))
     directions = directions[:some].T
     directions = directions * np.where(directions[np.abs(directions).argmax(axis=0), np.arange(some)] < 0, -1, 1)  # one sign for reruns
     turn = directions / (s[:some] / np.sqrt(n))
