@@ -23,7 +23,8 @@ SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 HOUR_US = 60 * MINUTE_US
 CELL_ROWS = 4_000_000
-BUCKET_ABOVE = 1_000_000
+LEAF_ROWS = 100_000
+FAN = 1_024
 
 
 def epoch_us(ts: Column) -> Column:
@@ -135,21 +136,6 @@ def range_totals(
     )
 
 
-def cut_points(df: DataFrame, key: str) -> list[float]:
-    """Bucket borders for ``key``: evenly spaced approximate quantiles.
-
-    They only balance the work; results built on the buckets are exact for any
-    borders. The driver receives one array of at most 4,095 numbers.
-    """
-    spark = df.sparkSession
-    buckets = min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 10 * buckets)
-    row = df.select(F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("c")).first()
-    cuts = row["c"] or []
-    return sorted({float(c) for c in cuts if c == c and abs(c) != float("inf")})
-
-
 def with_bucket(df: DataFrame, key: str, cuts: Sequence[float], out: str = "_bucket") -> DataFrame:
     if not cuts:
         return df.withColumn(out, F.lit(0.0))
@@ -158,40 +144,71 @@ def with_bucket(df: DataFrame, key: str, cuts: Sequence[float], out: str = "_buc
     return bucketizer.transform(df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
 
 
-def ordered_totals(
-    counts: DataFrame, key: str, measures: Sequence[str], by: Sequence[str] = (), bucket_above: int | None = None
-) -> DataFrame:
+def leaves_for(rows: int) -> int:
+    """Key ranges for so many rows; their number grows with the table, their size doesn't."""
+    return max(1, -(-rows // LEAF_ROWS))
+
+
+def range_leaves(rows: DataFrame, keys: Sequence[str], leaves: int, name: str) -> DataFrame:
+    """Rows dealt into ranges of the keys, sorted and written, with ``_leaf`` (range) and ``_place`` (from 0 inside it).
+
+    Spark's range exchange takes the borders from a sample; they only balance
+    the work, what is built on the leaves is exact for any borders.
+    """
+    mark = F.monotonically_increasing_id()  # task number above, row of the task below 33 bits
+    sorted_rows = rows.repartitionByRange(leaves, *keys).sortWithinPartitions(*keys)
+    return materialize(
+        sorted_rows.select("*", F.shiftright(mark, 33).alias("_leaf"), mark.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")), name)
+
+
+def totals_before(totals: DataFrame, measures: Sequence[str], by: Sequence[str], leaves: int, node: str = "_leaf") -> DataFrame:
+    """``by..., node, _off_<m>``: totals of all nodes before this one, from ``_t_<m>`` by node.
+
+    Up the tree, nodes are summed by ``FAN`` into their parent until one window
+    holds a level; down the tree, a node adds the nodes before it under its
+    parent to what lies before the parent. No window has more than ``FAN`` rows
+    a group.
+    """
+    by = list(by)
+    zero = F.lit(0)
+    if leaves <= FAN:
+        before = W.partitionBy(*by).orderBy(node).rowsBetween(W.unboundedPreceding, -1)
+        return totals.select(*by, node, *[F.coalesce(F.sum(f"_t_{m}").over(before), zero).alias(f"_off_{m}") for m in measures])
+    parent = f"{node}_up"
+    under = totals.withColumn(parent, floor_div(F.col(node).cast("long"), FAN))
+    above = under.groupBy(*by, parent).agg(*[F.sum(f"_t_{m}").alias(f"_t_{m}") for m in measures])
+    above = totals_before(above, measures, by, -(-leaves // FAN), parent)
+    above = above.select(*by, parent, *[F.col(f"_off_{m}").alias(f"_up_{m}") for m in measures])
+    before = W.partitionBy(*by, parent).orderBy(node).rowsBetween(W.unboundedPreceding, -1)
+    inside = under.select(*by, parent, node, *[F.coalesce(F.sum(f"_t_{m}").over(before), zero).alias(f"_in_{m}") for m in measures])
+    return inside.join(above, [*by, parent]).select(*by, node, *[(F.col(f"_in_{m}") + F.col(f"_up_{m}")).alias(f"_off_{m}") for m in measures])
+
+
+def ordered_totals(counts: DataFrame, key: str, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Add ``run_<m>`` (total up to this key, inclusive) and ``all_<m>`` per group.
 
-    ``counts`` has one row per (by, key), so a hot value is a single row. The
-    key range is cut into balanced buckets; windows run inside a bucket, and
-    the bucket totals (at most 4,096 per group) give the offsets. The counts are
-    written once, since the borders, the totals and the windows all read them;
-    where they turn out to be few, one window does.
+    ``counts`` has one row per (by, key), so a hot value is a single row. Rows
+    are dealt into ranges of (by, key) of about ``LEAF_ROWS`` rows; windows run
+    inside a range, a tree over the ranges' totals gives what lies before it.
+    The counts are written once, since their number and the ranges both read
+    them.
     """
     by = list(by)
-    bucket_above = BUCKET_ABOVE if bucket_above is None else bucket_above
     counts = materialize(counts.where(F.col(key).isNotNull()), "counts")
-    if counts.count() <= bucket_above:
-        group = W.partitionBy(*by)
-        upto = group.orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return counts.select(
-            "*", *[F.sum(m).over(upto).alias(f"run_{m}") for m in measures],
-            *[F.sum(m).over(group).alias(f"all_{m}") for m in measures],
-        )
-    p = with_bucket(counts, key, cut_points(counts, key))
-    cell = [*by, "_bucket"]
-    in_cell = W.partitionBy(*cell).orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
-    inner = p.select("*", *[F.sum(m).over(in_cell).alias(f"_in_{m}") for m in measures])
-    totals = p.groupBy(*cell).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*by)
-    offsets = totals.select(
-        *cell,
-        *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(f"_t_{m}").over(whole).alias(f"all_{m}") for m in measures],
-    )
-    return inner.join(offsets, cell).select(
+    leaves = leaves_for(counts.count())
+    placed = range_leaves(counts, [*by, key], leaves, "ranges").drop("_place") if leaves > 1 else counts.withColumn("_leaf", F.lit(0).cast("long"))
+    in_leaf = W.partitionBy("_leaf", *by)
+    upto = in_leaf.orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
+    if leaves == 1:
+        return placed.select(
+            *counts.columns, *[F.sum(m).over(upto).alias(f"run_{m}") for m in measures], *[F.sum(m).over(in_leaf).alias(f"all_{m}") for m in measures])
+    group = by or ["_all"]  # a constant, so that both joins below have a key
+    placed = placed if by else placed.withColumn("_all", F.lit(0))
+    inner = placed.select("*", *[F.sum(m).over(upto).alias(f"_in_{m}") for m in measures])
+    totals = placed.groupBy(*group, "_leaf").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    whole = totals.groupBy(*group).agg(*[F.sum(f"_t_{m}").alias(f"all_{m}") for m in measures])
+    before = totals_before(totals, measures, group, leaves).join(whole, group)
+    return inner.join(before, [*group, "_leaf"]).select(
         *counts.columns,
         *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"run_{m}") for m in measures],
         *[F.col(f"all_{m}") for m in measures],

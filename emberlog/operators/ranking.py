@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from emberlog.operators.prefix import epoch_us, ordered_totals, running_totals
+from emberlog.operators.prefix import epoch_us, leaves_for, ordered_totals, range_leaves, totals_before
 
 
 def percent_rank_average(df: DataFrame, score: str, out: str = "pct") -> DataFrame:
@@ -69,30 +69,14 @@ def uniform_sample(df: DataFrame, k: int, row_id: str = "event_id", seed: int =
 def with_row_position(df: DataFrame, ts: str = "timestamp", row_id: str = "event_id", out: str = "row_pos") -> DataFrame:
     """Zero-based position of every row by (time, id); null times come last.
 
-    Positions of instants come from running totals. Rows sharing one instant are
-    numbered inside bands of ids, so even one instant holding a third of the
-    table is spread over many groups.
+    Rows are dealt into ranges of (time, id) and sorted there, so an instant
+    that holds a third of the table is cut by ids, wherever those lie. A row's
+    position is its place in its range and the rows of the ranges before.
     """
-    rows = df.withColumn("_us", epoch_us(F.col(ts)))
     # null times sort behind every real one
-    rows = rows.withColumn("_us", F.coalesce("_us", F.lit(2**62)))
-    instants = rows.groupBy(F.col("_us").alias("us")).agg(
-        F.count("*").alias("n"), F.min(row_id).alias("_lo"), F.max(row_id).alias("_hi")
-    )
-    run = running_totals(instants.withColumn("ord", F.lit(0)), ["n"]).select(
-        F.col("us").alias("_us"), (F.col("run_n") - F.col("n")).alias("_before"), F.col("n").alias("_n"), "_lo", "_hi"
-    )
-    # leading bits of the id, as many as tell about 4,096 bands apart
-    reach = F.log2(F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1.0)
-    placed = rows.join(run, "_us").withColumn("_shift", F.greatest(F.lit(0), F.ceil(reach).cast("int") - 12))
-    placed = placed.withColumn("_band", F.call_function("shiftright", F.col(row_id), F.col("_shift")))
-    single = placed.where(F.col("_n") == 1).withColumn(out, F.col("_before"))
-    tied = placed.where(F.col("_n") > 1)
-    bands = tied.groupBy("_us", "_band").count()
-    ahead = W.partitionBy("_us").orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
-    bands = bands.select("_us", "_band", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_ahead"))
-    inside = F.row_number().over(W.partitionBy("_us", "_band").orderBy(row_id))
-    tied = tied.withColumn("_rn", inside).join(bands, ["_us", "_band"])
-    tied = tied.withColumn(out, F.col("_before") + F.col("_ahead") + F.col("_rn") - 1)
-    cols = [*df.columns, out]
-    return single.select(*cols).unionByName(tied.select(*cols))
+    rows = df.withColumn("_us", F.coalesce(epoch_us(F.col(ts)), F.lit(2**62)))
+    leaves = leaves_for(df.count())
+    placed = range_leaves(rows, ["_us", row_id], leaves, "positions")
+    totals = placed.groupBy("_leaf").agg(F.count("*").alias("_t_n"))
+    before = totals_before(totals, ["n"], [], leaves)
+    return placed.join(before, "_leaf").select(*df.columns, (F.col("_off_n") + F.col("_place")).alias(out))

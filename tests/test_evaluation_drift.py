@@ -20,11 +20,12 @@ def test_perfect(spark):
     assert (r["precision"], r["recall"], r["f1"], r["aupr"]) == (1.0, 1.0, 1.0, 1.0)
 
 
-@pytest.mark.parametrize("bucket_above", [0, 1_000_000])
-def test_imperfect(spark, monkeypatch, bucket_above):
+@pytest.mark.parametrize("leaf_rows", [2, 100_000])
+def test_imperfect(spark, monkeypatch, leaf_rows):
     from emberlog.operators import prefix
 
-    monkeypatch.setattr(prefix, "BUCKET_ABOVE", bucket_above)
+    monkeypatch.setattr(prefix, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(prefix, "FAN", 3)
     r = EV.evaluate(scored(spark, [0, 0, 1, 1, 1, 0], [0, 1, 1, 0, 1, 0], [0.1, 0.6, 0.8, 0.3, 0.9, 0.2])).first()
     assert r["n_true"] == 3 and r["n_pred"] == 3
     assert 0 < r["precision"] <= 1 and 0 < r["recall"] <= 1
@@ -69,11 +70,12 @@ def test_no_drift_and_high_drift(spark, reference):
     assert high["recommendation"] == D.SEVERE and set(high["feature_scores"]) == set(high["features_drifted"])
 
 
-@pytest.mark.parametrize("bucket_above", [0, 1_000_000])
-def test_statistic_equals_direct_ecdf_gap(spark, monkeypatch, bucket_above):
+@pytest.mark.parametrize("leaf_rows", [2, 100_000])
+def test_statistic_equals_direct_ecdf_gap(spark, monkeypatch, leaf_rows):
     from emberlog.operators import prefix
 
-    monkeypatch.setattr(prefix, "BUCKET_ABOVE", bucket_above)
+    monkeypatch.setattr(prefix, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(prefix, "FAN", 3)
     rng = np.random.default_rng(9)
     a, b = rng.integers(0, 20, 400).astype(float), rng.integers(3, 24, 250).astype(float)
     ks = D.ks_two_tables(spark.createDataFrame(pd.DataFrame({"x": a})), spark.createDataFrame(pd.DataFrame({"x": b}))).first()

@@ -81,11 +81,12 @@ def test_range_totals_equal_nested_loop(spark, fine):
         assert got.loc[s.span_id, "n_before"] == (mine.us < s.lo).sum()
 
 
-@pytest.mark.parametrize("bucket_above", [0, 1_000_000])
-def test_percent_rank_and_quantiles_with_hot_value(spark, monkeypatch, bucket_above):
+@pytest.mark.parametrize("leaf_rows", [7, 100_000])
+def test_percent_rank_and_quantiles_with_hot_value(spark, monkeypatch, leaf_rows):
     from emberlog.operators import prefix
 
-    monkeypatch.setattr(prefix, "BUCKET_ABOVE", bucket_above)
+    monkeypatch.setattr(prefix, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(prefix, "FAN", 3)
     rng = np.random.default_rng(4)
     x = np.where(rng.random(1000) < 0.4, 0.5, rng.normal(size=1000))
     df = spark.createDataFrame(pd.DataFrame({"event_id": range(1000), "s": x, "t": rng.integers(0, 3, 1000).astype(float)}))
@@ -123,3 +124,47 @@ def test_top_k_per_group_prunes_before_shuffle(spark):
     out = top_k_per_group(df, ["g"], [F.col("id").desc()], 5)
     assert [r["id"] for r in out.orderBy("id").collect()] == [995, 996, 997, 998, 999]
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leaves_stay_small_whatever_the_keys(spark, monkeypatch):
+    """One far id and a third of the rows at one instant; the number of leaves grows with the rows, their size doesn't."""
+    from emberlog.operators import prefix
+
+    monkeypatch.setattr(prefix, "LEAF_ROWS", 100)
+    monkeypatch.setattr(prefix, "FAN", 4)
+    largest = []
+    for n in (2_000, 20_000):
+        ids = [*range(n - 1), 2**62]
+        rows = [(i, BASE if k % 3 else BASE + timedelta(seconds=k)) for k, i in enumerate(ids)]
+        df = spark.createDataFrame(rows, "event_id long, timestamp timestamp_ntz")
+        placed = prefix.range_leaves(df.withColumn("_us", prefix.epoch_us(F.col("timestamp"))), ["_us", "event_id"], prefix.leaves_for(n), "leaves")
+        sizes = [r["count"] for r in placed.groupBy("_leaf").count().collect()]
+        assert len(sizes) > 0.8 * n / 100
+        largest.append(max(sizes))
+        got = {r["event_id"]: r["row_pos"] for r in with_row_position(df).collect()}
+        assert got == {i: k for k, (i, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    assert max(largest) < 3 * 100
+
+
+def test_tree_totals_open_no_window_beyond_the_fan(spark, monkeypatch):
+    from emberlog.operators import prefix
+
+    monkeypatch.setattr(prefix, "FAN", 5)
+    totals = spark.range(137).select((F.col("id") % 2).alias("g"), F.col("id").alias("_leaf"), (F.col("id") * 3).alias("_t_n"))
+    got = {(r["g"], r["_leaf"]): r["_off_n"] for r in prefix.totals_before(totals, ["n"], ["g"], 137).collect()}
+    assert got == {(i % 2, i): sum(3 * j for j in range(i) if j % 2 == i % 2) for i in range(137)}
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_ordered_totals_over_many_leaves(spark, monkeypatch, by):
+    from emberlog.operators import prefix
+
+    monkeypatch.setattr(prefix, "LEAF_ROWS", 50)
+    monkeypatch.setattr(prefix, "FAN", 3)
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "k": rng.permutation(3000) * 1e-3, "n": rng.integers(1, 5, 3000)})
+    pdf.loc[0, "k"] = 1e12  # one far key
+    got = prefix.ordered_totals(spark.createDataFrame(pdf), "k", ["n"], by).toPandas().sort_values("k")
+    want = pdf.sort_values("k")
+    run, whole = (want.groupby("g")["n"].cumsum(), want.groupby("g")["n"].transform("sum")) if by else (want["n"].cumsum(), want["n"].sum())
+    assert (got["run_n"].to_numpy() == run.to_numpy()).all() and (got["all_n"].to_numpy() == np.broadcast_to(whole, 3000)).all()
