@@ -85,18 +85,21 @@ def test_statistic_equals_direct_ecdf_gap(spark, monkeypatch, leaf_rows):
     assert (ks["n_ref"], ks["n_cur"]) == (400, 250)
 
 
-def test_cells_give_the_exact_statistic(spark, monkeypatch):
-    """Large-table plan on ties, a hot value and a shifted column."""
+@pytest.mark.parametrize("open_rows", [0, 500_000])
+def test_cells_give_the_exact_statistic(spark, monkeypatch, open_rows):
+    """Ties, a hot value, a shifted column, heavy tails, infinities and NaN."""
     rng = np.random.default_rng(11)
     n = 3000
     cur = rng.random(n) < 0.3
     pdf = pd.DataFrame({
         "c": cur, "same": rng.normal(size=n), "moved": rng.normal(size=n) + 0.4 * cur,
         "hot": np.where(rng.random(n) < 0.4, 1.5, rng.normal(size=n)), "flat": 7.0, "whole": rng.integers(0, 6, n).astype(float),
+        "tails": np.exp(rng.normal(size=n) * 8), "edges": rng.choice([-np.inf, 0.0, 1.0, np.inf], n),
     })
     monkeypatch.setattr(D, "CELLS", 16)
-    names = ["same", "moved", "hot", "flat", "whole"]
-    got = D.ks_per_feature(spark.createDataFrame(pdf), names, F.col("c"), direct_below=0).toPandas().set_index("feature")
+    monkeypatch.setattr(D, "OPEN_ROWS", open_rows)
+    names = ["same", "moved", "hot", "flat", "whole", "tails", "edges"]
+    got = D.ks_per_feature(spark.createDataFrame(pdf), names, F.col("c")).toPandas().set_index("feature")
     for c in names:
         a, b = np.sort(pdf.loc[~cur, c]), np.sort(pdf.loc[cur, c])
         grid = np.unique(pdf[c])
@@ -105,6 +108,21 @@ def test_cells_give_the_exact_statistic(spark, monkeypatch):
         assert (got.loc[c, "n_ref"], got.loc[c, "n_cur"]) == (len(a), len(b))
 
 
+def test_share_counted_one_by_one_falls_with_the_rows(spark, monkeypatch):
+    """Undrifted sides: the cells left open hold a smaller share of a larger table."""
+    monkeypatch.setattr(D, "OPEN_ROWS", 0)
+    shares = []
+    for n in (5_000, 50_000, 400_000):
+        rows = spark.range(n).select((F.xxhash64("id") % 3 == 0).alias("_cur"), F.randn(7).alias("x"))
+        cells = D.refined_cells(D._addressed(rows, ["x"]))
+        assert cells.rows == n and cells.open_rows <= 0.01 * n
+        monkeypatch.setattr(D, "STEP_BITS", 99)  # without refinement
+        flat = D.refined_cells(D._addressed(rows, ["x"]))
+        monkeypatch.setattr(D, "STEP_BITS", 4)
+        shares.append((cells.open_rows / n, flat.open_rows / n))
+    assert shares[2][1] > 0.05 and shares[2][0] <= 0.01
+
+
 def test_only_shared_columns_count(spark, reference):
     cur = reference.drop("burst_flag").withColumn("extra", F.lit(1.0))
     assert D.shared_columns(reference, cur) == ["error_rate", "severity_mean"]
