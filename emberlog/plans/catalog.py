@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.operators.windows import add_rolling_features
-from emberlog.plans import queries_models, queries_scan, queries_tables  # noqa: F401
+from emberlog.plans import queries_boosting, queries_models, queries_scan, queries_tables  # noqa: F401
 from emberlog.plans.registry import ORACLES, QUERIES, log_table
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
