@@ -1,13 +1,14 @@
 """Document fingerprints by a homomorphic multiset hash.
 
 A document is the multiset of its paragraphs (lines that are not blank). Each
-paragraph hashes to a wide vector of 16-bit lanes; a document's fingerprint is
-the sum of its paragraphs' vectors modulo 2 ** 16, lane by lane. So the order of
+paragraph hashes to a wide vector of 32-bit lanes; a document's fingerprint is
+the sum of its paragraphs' vectors modulo 2 ** 32, lane by lane. So the order of
 paragraphs doesn't matter, and adding or taking away a paragraph adds or
 subtracts its vector (``changed``) without the rest of the text.
 
-The first ``EXACT`` lanes of a paragraph's vector are uniform numbers: two
-documents agree there only if their multisets do. In the other ``LIKE`` lanes a
+The first ``EXACT`` lanes of a paragraph's vector are the 512 bits of its
+SHA-512: documents of different multisets agree in all of them only by a
+collision of such sums, which nobody is expected to meet. In the other ``LIKE`` lanes a
 paragraph adds +1 or -1 for each of its 3-word shingles, so the cosine of two
 sums estimates how much the two documents share (``likeness``: 1 for equal
 fingerprints, about 0 for unrelated ones).
@@ -34,7 +35,7 @@ from emberlog.llm import kernels as K
 from emberlog.llm.tables import shuffle_parts
 from emberlog.operators.prefix import with_bucket
 
-EXACT, LIKE, SHINGLE, MOST_RANGES, DRAWN = 32, 128, 3, 65_536, 32
+EXACT, LIKE, SHINGLE, MOST_RANGES, DRAWN = 16, 128, 3, 65_536, 32
 
 
 def paragraphs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +48,7 @@ def paragraphs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def fingerprints(column: pa.Array) -> np.ndarray:
     """Lanes (rows by EXACT + LIKE) of every text of a column."""
     data, offsets = K.text_bytes(column)
-    out = np.zeros((len(column), EXACT + LIKE), np.uint16)
+    out = np.zeros((len(column), EXACT + LIKE), np.uint32)
     for lo, hi, part, at in K.pieces(data, offsets):
         n = hi - lo
         if not len(part):
@@ -57,28 +58,27 @@ def fingerprints(column: pa.Array) -> np.ndarray:
         solid = np.diff(w.first) > 0
         size = np.diff(edge)
         body = size - (part[edge[1:] - 1] == 10)
-        inside = np.arange(len(part)) - np.repeat(edge[:-1], size)
-        term = (part.astype(np.uint64) + np.uint64(1)) * K.powers(int(size.max()))[inside]
-        term[inside >= np.repeat(body, size)] = 0
-        code = K.mix(np.add.reduceat(term, edge[:-1]) + body.astype(np.uint64) * K.GOLDEN)[solid]
+        raw = part.tobytes()
+        wide = b"".join(hashlib.sha512(raw[at_ : at_ + size_]).digest() for at_, size_ in zip(edge[:-1][solid].tolist(), body[solid].tolist()))
+        lanes = np.frombuffer(wide, ">u4").reshape(-1, EXACT).astype(np.uint32)
         first = np.searchsorted(row[solid], np.arange(n + 1))
-        for lane in range(EXACT):
-            out[lo:hi, lane] = (K.sums_by_row(K.mix(code + K.salt(lane + 1)), first) & np.uint64(0xFFFF)).astype(np.uint16)
+        run = np.concatenate([np.zeros((1, EXACT), np.uint32), np.cumsum(lanes, axis=0, dtype=np.uint32)])
+        out[lo:hi, :EXACT] = run[first[1:]] - run[first[:-1]]
         values, sfirst = K.shingles(w, SHINGLE)
         owner = np.repeat(row, np.diff(sfirst))
         lane = (values % np.uint64(LIKE)).astype(np.int64)
         sign = ((values >> np.uint64(40)) & np.uint64(1)).astype(np.float64) * 2 - 1
         sums = np.bincount(owner * LIKE + lane, weights=sign, minlength=n * LIKE).astype(np.int64)
-        out[lo:hi, EXACT:] = (sums & 0xFFFF).astype(np.uint16).reshape(n, LIKE)
+        out[lo:hi, EXACT:] = (sums & 0xFFFFFFFF).astype(np.uint32).reshape(n, LIKE)
     return out
 
 
 def as_text(lanes: np.ndarray) -> list[str]:
-    return [x.astype(">u2").tobytes().hex() for x in lanes]
+    return [x.astype(">u4").tobytes().hex() for x in lanes]
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u2").astype(np.uint16)
+    return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
 
 def changed(fingerprint: str, inserted: list[str] = (), deleted: list[str] = ()) -> str:
@@ -86,14 +86,14 @@ def changed(fingerprint: str, inserted: list[str] = (), deleted: list[str] = ())
     lanes = from_text(fingerprint)
     for texts, add in ((inserted, True), (deleted, False)):
         if texts:
-            sums = fingerprints(pa.array(list(texts), pa.string())).sum(0, dtype=np.uint16)
+            sums = fingerprints(pa.array(list(texts), pa.string())).sum(0, dtype=np.uint32)
             lanes = lanes + sums if add else lanes - sums
     return as_text(lanes[None])[0]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """0 to 1 for rows of lanes; 1 where the fingerprints are equal."""
-    x, y = (v[:, EXACT:].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[:, EXACT:].view(np.int32).astype(np.float64) for v in (a, b))
     norm = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     cosine = np.divide((x * y).sum(1), norm, out=np.zeros(len(x)), where=norm > 0)
     return np.where((a == b).all(1), 1.0, np.clip(cosine, 0.0, 1.0))

@@ -114,3 +114,10 @@ def test_components_of_a_path_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r["v"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+def test_words_that_cancel_in_a_polynomial_hash_are_no_link(make_docs):
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(make_docs(rows), num=85, den=100).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}

@@ -383,3 +383,36 @@ def test_repeated_ids_one_document_and_none(make_docs):
     assert len(only) == 1 and only[0]["near_next"] == 1.0
     rows = [(1, "x y z"), (1, "x y z"), (1, "other"), (None, "q"), (None, None)]
     assert len(P.compare_with_next(make_docs(rows)).collect()) == 5
+
+
+def thue_morse(n=1024):
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_cancel_in_a_polynomial_hash_differ(make_docs):
+    a, b = thue_morse()
+    one = lambda t: P.as_text(P.fingerprints(pa.array([t])))[0]
+    assert one(a) != one(b) and P.likeness(P.fingerprints(pa.array([a])), P.fingerprints(pa.array([b])))[0] < 1
+    w = K.words(*K.text_bytes(pa.array([f"{a} {b} {a}"])))
+    assert w.hash[0] == w.hash[2] != w.hash[1]
+    got = {r["doc_id"]: r["near_next"] for r in P.compare_with_next(make_docs([(1, a), (2, b)])).collect()}
+    assert max(got.values()) < 1
+
+
+def test_word_hashes_tell_words_apart():
+    texts = ["", "a", "aa", "a" * 8, "a" * 9, "a" * 16, "b" + "a" * 15, "a" * 15 + "b", "a" * 8 + "b" * 8, "b" * 8 + "a" * 8, "é", "É", "aA", "AA"]
+    got = [K.words(*K.text_bytes(pa.array([t]))).hash.tolist() for t in texts]
+    assert got[0] == [] and got[2] == got[12] == got[13]
+    assert len({h[0] for h in got[1:12]}) == 11
+
+
+def test_lanes_equal_a_naive_sum_and_do_not_wrap():
+    text = "one two three four\n\n  \nfive six seven\none two three four\nx"
+    want = np.zeros(P.EXACT, np.uint64)
+    for line in text.split("\n"):
+        if line.strip():
+            want += np.frombuffer(hashlib.sha512(line.encode()).digest(), ">u4").astype(np.uint64)
+    assert (P.fingerprints(pa.array([text]))[0, : P.EXACT] == want % (1 << 32)).all()
+    many, fewer = ("word " * n for n in (40_000, 30_000))
+    assert P.likeness(P.fingerprints(pa.array([many])), P.fingerprints(pa.array([fewer])))[0] > 0.9
