@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,17 +89,34 @@ def test_answers_with_text_behind_the_object(spark):
 
 @pytest.mark.parametrize("kind", ["grid", "far"])
 def test_neighbours_equal_brute_force_on_ties_and_far_from_the_origin(spark, kind, monkeypatch):
-    monkeypatch.setattr(neighbors, "ROWS_PER_CELL", 40)
+    monkeypatch.setattr(neighbors, "ROWS_PER_CELL", 10)
+    monkeypatch.setattr(neighbors, "PLACED_ROWS", 30)
     rng = np.random.default_rng(9)
     data = rng.integers(0, 4, (160, 3)).astype(float) if kind == "grid" else rng.normal(1e9, 3.0, (160, 3))
     rows = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(data)], "id long, vec array<double>")
     train, asked = rows.where("id < 120"), rows.where("id >= 120")
-    pivots = neighbors.choose_pivots(train, 120)
-    cells = neighbors.assign_cells(train, pivots)
+    cells, tops = neighbors.build_cells(train, 120)
+    assert cells.select("cell").distinct().count() > 2
     got = {}
-    for r in neighbors.nearest_neighbours(asked, cells, pivots, 7).collect():
+    for r in neighbors.nearest_neighbours(asked, cells, neighbors.tree_of(cells, tops), 7).collect():
         got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
     for k in range(120, 160):
         dist = np.sqrt(((data[k] - data[:120]) ** 2).sum(1))
         want = sorted(range(120), key=lambda j: (dist[j], j))[:7]
         assert [n for _, n in sorted(got[k])] == want
+
+
+def test_cells_hold_as_many_rows_in_a_larger_table(spark, monkeypatch):
+    """Ten times the rows, a third of them equal: as many rows a cell, ten times the cells, and few pivots on top."""
+    monkeypatch.setattr(neighbors, "ROWS_PER_CELL", 50)
+    seen = {}
+    for n in (2_000, 20_000):
+        rng = np.random.default_rng(1)
+        data = rng.normal(size=(n, 3))
+        data[: n // 3] = 1.0
+        train = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "vec": list(data)}), "id long, vec array<double>")
+        rows, tops = neighbors.build_cells(train, n)
+        sizes = rows.where(f"id >= {n // 3}").groupBy("cell").count().toPandas()["count"]
+        assert rows.count() == n and len(tops) <= round((n / 50) ** 0.5)
+        seen[n] = (sizes.mean(), len(sizes))
+    assert 0.5 < seen[20_000][0] / seen[2_000][0] < 2 and 5 < seen[20_000][1] / seen[2_000][1] < 20
