@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from emberlog.functions import scalars as S
+from emberlog.operators.prefix import epoch_us
 from emberlog.session import scratch_path
 
 FEED_ROWS = 50
@@ -86,21 +88,33 @@ def with_canned_summary(latest: DataFrame) -> DataFrame:
 def rolling_stream(
     stream: DataFrame, size: str = "5 minutes", slide: str = "1 minute", late: str = "10 minutes", ts: str = "timestamp"
 ) -> DataFrame:
-    """Sliding-window features; rows later than the watermark are dropped."""
+    """Sliding-window features; rows later than the watermark are dropped.
+
+    Two stateful steps: totals by window and node, which leave when the window
+    closes, then their sums by window. A node is one row of the second step, so
+    ``unique_nodes`` is exact, and a window holding many rows of few nodes keeps
+    little state. A time without zone is taken and given back as it is written.
+    """
     sev = F.col("severity_score")
-    # event time must carry a zone; the session runs in UTC
-    stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return (
-        stream.withWatermark(ts, late)
-        .groupBy(F.window(ts, size, slide))
-        .agg(
-            F.count("*").alias("total_count"), F.sum(S.is_error(sev)).alias("error_count"),
-            F.sum(S.is_warning(sev)).alias("warning_count"), F.sum(S.is_fatal(sev)).alias("fatal_count"),
-            F.avg(sev).alias("avg_severity"), F.approx_count_distinct("node").alias("unique_nodes"),
-        )
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "total_count",
-                "error_count", "warning_count", "fatal_count", "avg_severity", "unique_nodes")
+    plain = isinstance(stream.schema[ts].dataType, TimestampNTZType)
+    timed = stream.withColumn(ts, F.timestamp_micros(epoch_us(F.col(ts))))  # event time must carry a zone
+    by_node = (
+        timed.withWatermark(ts, late)
+        .groupBy(F.window(ts, size, slide).alias("span"), "node")
+        .agg(F.count("*").alias("n"), F.sum(S.is_error(sev)).alias("errors"), F.sum(S.is_warning(sev)).alias("warnings"),
+             F.sum(S.is_fatal(sev)).alias("fatals"), F.sum(sev).alias("severity"), F.count(sev).alias("scored"))
     )
+    by_window = by_node.groupBy("span").agg(
+        F.sum("n").alias("total_count"), F.sum("errors").alias("error_count"), F.sum("warnings").alias("warning_count"),
+        F.sum("fatals").alias("fatal_count"), F.try_divide(F.sum("severity"), F.sum("scored")).alias("avg_severity"), F.count("node").alias("unique_nodes"))
+
+    def written(at):
+        us = F.unix_micros(at)
+        return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=(us / 1_000_000).cast("decimal(18,6)")) if plain else at
+
+    return by_window.select(
+        written(F.col("span.start")).alias("window_start"), written(F.col("span.end")).alias("window_end"), "total_count",
+        "error_count", "warning_count", "fatal_count", "avg_severity", "unique_nodes")
 
 
 def run_available(stream: DataFrame, mode: str, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -71,6 +72,32 @@ def test_sliding_windows_equal_batch_on_closed_windows(spark, folder):
     assert got["window_start"].is_unique
 
 
+def test_late_rows_and_exact_nodes(spark, tmp_path):
+    """Many nodes counted exactly, null nodes not; a row behind the watermark changes nothing."""
+    path = str(tmp_path / "late")
+    rows = [(k, BASE + timedelta(seconds=k % 60), f"n{k % 700}", "INFO", "K", "m", False, 0.1) for k in range(1400)]
+    rows += [(5000, BASE, None, "FATAL", "K", "m", False, 0.1), (5001, BASE + timedelta(hours=1), "far", "INFO", "K", "m", False, 0.1)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(path)
+
+    def windows():
+        s = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path).withColumn("severity_score", S.severity_score(F.col("level")))
+        out = live.run_available(live.rolling_stream(s), "append", "late").toPandas()
+        return out.set_index("window_start").sort_index()
+
+    first = windows().loc[pd.Timestamp(BASE)]
+    assert (first["total_count"], first["unique_nodes"], first["fatal_count"]) == (1401, 700, 1)
+    for k in range(2):  # the watermark that drops rows is that of the batch before
+        time.sleep(1.1)
+        more = [(5500 + k, BASE + timedelta(hours=1, seconds=k), "far", "INFO", "K", "m", False, 0.1)]
+        spark.createDataFrame(more, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    late = [(6000, BASE, "late", "FATAL", "K", "m", False, 0.1), (6001, BASE + timedelta(hours=2), "far", "INFO", "K", "m", False, 0.1)]
+    time.sleep(1.1)  # files are read by age
+    spark.createDataFrame(late, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    again = windows()
+    assert again.loc[pd.Timestamp(BASE), "total_count"] == 1401 and again.loc[pd.Timestamp(BASE), "unique_nodes"] == 700
+    assert again.index.is_unique and again.loc[pd.Timestamp(BASE + timedelta(hours=1)), "unique_nodes"] == 1
+
+
 def test_export_row(spark):
     row = S.export_row(spark.createDataFrame([(1, BASE, "n", "INFO", "K", "m", False, 0.123449999)], SCHEMA)).first()
     assert row["timestamp"] == "2024-01-01 00:00:00" and row["anomaly_score"] == 0.1234
