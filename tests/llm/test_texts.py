@@ -416,3 +416,22 @@ def test_lanes_equal_a_naive_sum_and_do_not_wrap():
     assert (P.fingerprints(pa.array([text]))[0, : P.EXACT] == want % (1 << 32)).all()
     many, fewer = ("word " * n for n in (40_000, 30_000))
     assert P.likeness(P.fingerprints(pa.array([many])), P.fingerprints(pa.array([fewer])))[0] > 0.9
+
+
+def test_longer_steps_stop_no_lower_than_plain_ones(make_docs):
+    rng = random.Random(4)
+    topics = [[f"w{t}x{k}" for k in range(30)] for t in range(4)]
+    docs = make_docs([(d, " ".join(rng.choice(topics[(d + (k > 30)) % 4]) for k in range(60))) for d in range(300)])
+    words = H.vocabulary(H.word_counts(docs))
+    rows = H.class_rows(docs, words)
+    model, last, plain = H.first_model(words.class_totals(), 4), -math.inf, 0
+    while True:
+        model, likely = H.baum_welch_round(rows, words, model)
+        plain += 1
+        if likely - last <= H.GAIN * abs(likely):
+            break
+        last = likely
+    got = H.baum_welch_round(rows, words, H.train(docs, words, 4))[1]
+    assert got >= likely - 1e-3 * abs(likely)
+    half = H.relaxed(model, model, 3.0)
+    assert all(np.allclose(a, b) for a, b in zip(half, model))
