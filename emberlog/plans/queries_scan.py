@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import filters
 from emberlog.functions import scalars as S
-from emberlog.functions.responses import parse_answers, render_prompt
+from emberlog.functions.responses import PROMPT, PROMPT_FIELDS, parse_answers, render_prompt
 from emberlog.operators import drift
 from emberlog.operators.aggregates import value_counts
 from emberlog.operators.detector import AnomalyDetector
@@ -186,6 +186,16 @@ def s10(spark, d):
     return labels.select("event_id", "llm_label", F.lit(source).alias("source"))
 
 
+@query("s10_stored_labels", "SELECT event_id, CAST(severity_score >= 3 AS INTEGER) AS llm_label, 'llm' AS source FROM logs WHERE severity_score > 0")
+def s10_stored(spark, d):
+    """The branch with stored labels: those that a job before has written."""
+    logs = log_table(spark, d)
+    path = scratch_path(spark, "llm-labels")
+    tables.save_table(logs.where("severity_score > 0").select("event_id", (F.col("severity_score") >= 3).cast("int").alias("llm_label")), path)
+    labels, source = tables.labels_or_truth(spark, path, logs)
+    return labels.select("event_id", "llm_label", F.lit(source).alias("source"))
+
+
 # ---------------------------------------------------------------- scalar functions
 
 
@@ -367,13 +377,12 @@ def contexts(spark: SparkSession, d: str) -> DataFrame:
     return build_contexts(inc, logs)
 
 
-@query("p21_prompt", CONTEXT_SQL + """
-SELECT anomaly_id, 'Se detectó una anomalía en el nodo ' || node || ' a las ' || timestamp || '.' AS line_2,
- '- Errores: ' || error_count || ' (' || error_rate || ' del total)' AS line_6, 'Anomaly score: ' || printf('%.4f', anomaly_score) AS score_line FROM ctx""")
+_PROMPT_SQL = "printf('" + PROMPT.replace("'", "''") + "', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in PROMPT_FIELDS) + ", printf('%.4f', anomaly_score))"
+
+
+@query("p21_prompt", CONTEXT_SQL + f"SELECT anomaly_id, {_PROMPT_SQL} AS prompt FROM ctx")
 def p21(spark, d):
-    lines = F.split(render_prompt(F.col("anomaly_score")), "\n")
-    score_line = F.filter(lines, lambda x: x.startswith("Anomaly score"))[0]
-    return contexts(spark, d).select("anomaly_id", lines[1].alias("line_2"), lines[5].alias("line_6"), score_line.alias("score_line"))
+    return contexts(spark, d).select("anomaly_id", render_prompt(F.col("anomaly_score")).alias("prompt"))
 
 
 def answer_texts(logs: DataFrame) -> DataFrame:

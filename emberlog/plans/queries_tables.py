@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import filters
 from emberlog.functions import scalars as S
+from emberlog.functions.scalars import fixed_text
 from emberlog.operators import aggregates as A
 from emberlog.operators import drift as D
 from emberlog.operators import evaluation as EV
@@ -88,7 +89,10 @@ def w7(spark, d):
 
 KS_SQL = """WITH long AS (
   SELECT event_id, 'anomaly_score' AS feature, anomaly_score AS value FROM logs
-  UNION ALL SELECT event_id, 'severity_score', CAST(severity_score AS DOUBLE) FROM logs),
+  UNION ALL SELECT event_id, 'severity_score', CAST(severity_score AS DOUBLE) FROM logs
+  UNION ALL SELECT event_id, 'hour', CAST(hour(timestamp) AS DOUBLE) FROM logs
+  UNION ALL SELECT event_id, 'minute', CAST(minute(timestamp) AS DOUBLE) FROM logs
+  UNION ALL SELECT event_id, 'text_length', CAST(coalesce(length(content), 0) AS DOUBLE) FROM logs),
 pos AS (SELECT event_id, row_number() OVER (ORDER BY timestamp, event_id) AS rn, count(*) OVER () AS n FROM logs),
 sides AS (SELECT feature, value + {shift} AS value, p.rn > floor(p.n * 0.8) AS cur FROM long JOIN pos p USING (event_id)),
 c AS (SELECT feature, value, sum(CASE WHEN cur THEN 0 ELSE 1 END) AS r, sum(CASE WHEN cur THEN 1 ELSE 0 END) AS k FROM sides GROUP BY 1, 2),
@@ -102,11 +106,20 @@ pv AS (SELECT feature, ks, n_ref, n_cur, CASE WHEN lam < 0.2 THEN 1.0 ELSE least
 SHIFT = "CASE WHEN p.rn > floor(p.n * 0.8) AND feature = 'anomaly_score' THEN 0.2 ELSE 0 END"
 
 
+KS_COLUMNS = ("anomaly_score", "severity_score", "hour", "minute", "text_length")
+
+
+def ks_rows(spark, d):
+    """The log's numeric columns, for the drift queries."""
+    logs = log_table(spark, d).withColumns({"hour": F.hour("timestamp"), "minute": F.minute("timestamp"), "text_length": F.length("content")})
+    return logs.select("event_id", "timestamp", "node", "is_anomaly", *[F.col(c).cast("double").alias(c) for c in KS_COLUMNS])
+
+
 def _ks(spark, d, shift: float = 0.0):
-    logs = log_table(spark, d).select("event_id", "timestamp", "anomaly_score", F.col("severity_score").cast("double").alias("severity_score"))
+    logs = ks_rows(spark, d)
     first = temporal_slices(logs, (0.8,))[0]
     moved = logs.withColumn("anomaly_score", F.col("anomaly_score") + F.when(~first, shift).otherwise(0.0)) if shift else logs
-    return D.ks_per_feature(moved, ["anomaly_score", "severity_score"], ~first)
+    return D.ks_per_feature(moved, KS_COLUMNS, ~first)
 
 
 @query("w8_ecdf_gap", KS_SQL.format(shift="0") + "SELECT feature, round(ks, 6) AS ks FROM ks")
@@ -580,13 +593,24 @@ def d1(spark, d):
     return _ks(spark, d, 0.2).select("feature", F.round("ks", 6).alias("ks"), "n_ref", "n_cur", F.round("p_value", 6).alias("p_value"))
 
 
-@query("d2_drift_report", KS_SQL.format(shift=SHIFT) + f"""SELECT CAST(printf('%.4f', avg(CAST(p_value < 0.05 AS INTEGER))) AS DOUBLE) AS drift_score, bool_or(p_value < 0.05) AS drift_detected,
-string_agg(feature, ',' ORDER BY feature) FILTER (p_value < 0.05) AS features_drifted, round(max(p_value) FILTER (feature = 'severity_score'), 6) AS p_severity,
-count(*) AS n_features_total, '{D.LEVELS[1][1]}' AS recommendation FROM pv""")
+REPORT_SQL = f"""SELECT CAST(printf('%.4f', share) AS DOUBLE) AS drift_score, share > 0 AS drift_detected, features_drifted, feature_scores, n_features_total,
+ CASE WHEN share = 0 THEN '{D.NO_DRIFT}' WHEN share < 0.3 THEN '{D.LEVELS[0][1]}' WHEN share < 0.7 THEN '{D.LEVELS[1][1]}' ELSE '{D.SEVERE}' END AS recommendation
+FROM (SELECT avg(CAST(p_value < 0.05 AS INTEGER)) AS share, coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (p_value < 0.05), '') AS features_drifted,
+ string_agg(feature || '=' || printf('%.6f', p_value), ',' ORDER BY feature) AS feature_scores, count(*) AS n_features_total FROM pv)"""
+
+
+def whole_report(report):
+    """A drift report with its lists and its map as text."""
+    scores = F.array_sort(F.map_entries("feature_scores"))
+    said = F.transform(scores, lambda e: F.concat(e["key"], F.lit("="), fixed_text(e["value"], 6)))
+    return report.select(
+        "drift_score", "drift_detected", F.array_join("features_drifted", ",").alias("features_drifted"),
+        F.array_join(said, ",").alias("feature_scores"), "n_features_total", "recommendation")
+
+
+@query("d2_drift_report", KS_SQL.format(shift=SHIFT) + REPORT_SQL)
 def d2(spark, d):
-    r = D.drift_report(_ks(spark, d, 0.2))
-    return r.select("drift_score", "drift_detected", F.array_join("features_drifted", ",").alias("features_drifted"),
-                    F.round(F.col("feature_scores")["severity_score"], 6).alias("p_severity"), "n_features_total", "recommendation")
+    return whole_report(D.drift_report(_ks(spark, d, 0.2)))
 
 
 @query("d3_recommendations", f"""SELECT event_id, CASE WHEN NOT is_predicted_anomaly THEN '{D.NO_DRIFT}' WHEN anomaly_score < 0.3 THEN '{D.LEVELS[0][1]}'

@@ -29,6 +29,6 @@ def test_query_equals_oracle(spark, sf_dir, con, name):
     assert compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"m14_detector_comparison"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_returns_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
