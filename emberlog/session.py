@@ -47,14 +47,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only where the session names none (tests on one machine) is a fresh local
-    folder created and remembered in the session.
+    folder created, and remembered with the application: the setting itself
+    can't be changed while it runs.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_emberlog_scratch", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="emberlog-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = context._emberlog_scratch = tempfile.mkdtemp(prefix="emberlog-")
     return root
 
 
