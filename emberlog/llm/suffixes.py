@@ -35,7 +35,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +48,13 @@ LAST = (1 << 63) - 1  # stands for a missing id
 FIELDS = (("gram", np.uint64), ("digest", np.uint64), ("doc", np.int64), ("tie", np.int32), ("at", np.uint32), ("size", np.uint8))
 
 
+def _zstd():
+    """Imported in the tasks only: all other queries do without it."""
+    import zstandard
+
+    return zstandard
+
+
 def _rolled(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the GRAM bytes and of the 64 bytes from each position."""
     h, width, power = data.astype(np.uint64) + np.uint64(1), 1, int(K.STEP)
@@ -99,11 +105,11 @@ def _pack(fields: list[np.ndarray]) -> bytes:
     fields = list(fields)
     fields[2] = np.diff(fields[2], prepend=np.int64(0))
     raw = len(fields[0]).to_bytes(8, "little") + b"".join(np.ascontiguousarray(f).tobytes() for f in fields)
-    return zstandard.ZstdCompressor(1).compress(raw)
+    return _zstd().ZstdCompressor(1).compress(raw)
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
+    raw = _zstd().ZstdDecompressor().decompress(blob)
     n, at, out = int.from_bytes(raw[:8], "little"), 8, []
     for _, kind in FIELDS:
         out.append(np.frombuffer(raw, kind, n, at))
@@ -384,7 +390,7 @@ def _shard_rows(batches, shard_bytes: int):
 
 
 def _squeezed(batches):
-    pack = zstandard.ZstdCompressor(1)
+    pack = _zstd().ZstdCompressor(1)
     for batch in batches:
         raw = batch.column("text").cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -400,7 +406,7 @@ def _lists(column: pa.Array, names: tuple[str, ...]) -> tuple[np.ndarray, dict[s
 
 
 def _cut_snippets(batches):
-    unpack = zstandard.ZstdDecompressor()
+    unpack = _zstd().ZstdDecompressor()
     for batch in batches:
         first, asked = _lists(batch.column("asked"), ("bucket", "gram", "at", "size"))
         doc, tie, packed = batch.column("doc").to_numpy(), batch.column("tie").to_numpy(), batch.column("z")
@@ -424,7 +430,7 @@ CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 
 
 def _kept(batches):
-    unpack = zstandard.ZstdDecompressor()
+    unpack = _zstd().ZstdDecompressor()
     for batch in batches:
         out = []
         first, spans = _lists(batch.column("spans"), ("at", "size"))
