@@ -26,7 +26,7 @@ def features_table(spark, n=300, seed=0):
 
 
 def test_retrain_on_truth(spark):
-    r = jobs.retrain_job(features_table(spark), None, None, WeakLabelClassifier(n_estimators=5)).first()
+    r = jobs.retrain_job(features_table(spark), None, None, WeakLabelClassifier(n_estimators=60)).first()
     assert r["labels_source"] == "ground_truth (240 samples)" and r["n_samples_used"] == 240
     assert r["f1_before"] == 0.0 and r["f1_after"] > 0.9 and r["model_version"] == "active_learner_v1"
 
@@ -35,7 +35,7 @@ def test_retrain_on_labels_with_baseline(spark, tmp_path):
     f = features_table(spark)
     detector = AnomalyDetector("isolation_forest", contamination=0.2, n_trees=40).fit(f, ["f1", "f2"])
     labels = weak_labels(f.where("event_id < 150"), f)
-    r = jobs.retrain_job(f, labels, detector, WeakLabelClassifier(n_estimators=5), model_path=str(tmp_path / "m")).first()
+    r = jobs.retrain_job(f, labels, detector, WeakLabelClassifier(n_estimators=60), model_path=str(tmp_path / "m")).first()
     assert r["labels_source"] == "llm (150 samples)" and r["f1_before"] > 0
     assert WeakLabelClassifier.load(spark, str(tmp_path / "m")).columns == ["f1", "f2"]
 
