@@ -91,6 +91,11 @@ def safe_name(component: str) -> str:
     return "comp_" + str(component).replace(" ", "_").replace("-", "_").lower()
 
 
+def safe_name_of(component: Column) -> Column:
+    """The same name as a column, for any number of components."""
+    return F.concat(F.lit("comp_"), F.lower(F.translate(component, " -", "__")))
+
+
 def align(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The trained columns in the trained order; a missing one is 0."""
     have = set(df.columns)

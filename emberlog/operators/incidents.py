@@ -184,6 +184,18 @@ def history_labels(predictions: DataFrame) -> DataFrame:
     )
 
 
+def _severity_counts(history: DataFrame) -> list[Column]:
+    counts = [F.count("*").alias("total")]
+    if "severidad" in history.columns:
+        counts += [F.count_if(F.col("severidad") == s).alias(s.lower()) for s in ("CRITICAL", "HIGH", "MEDIUM")]
+    return counts
+
+
+def history_by_node(history: DataFrame) -> DataFrame:
+    """The history of every node at once."""
+    return history.groupBy("node").agg(*_severity_counts(history))
+
+
 def node_history(history: DataFrame, pattern: str, days_back: int | None = None) -> DataFrame:
     """Incidents of the nodes matching a pattern, by severity.
 
@@ -193,10 +205,7 @@ def node_history(history: DataFrame, pattern: str, days_back: int | None = None)
     if days_back is not None:
         newest = history.agg(F.max("timestamp")).scalar()
         mine = mine.where(F.col("timestamp") >= newest - F.expr(f"interval {int(days_back)} days"))
-    counts = [F.count("*").alias("total")]
-    if "severidad" in history.columns:
-        counts += [F.count_if(F.col("severidad") == s).alias(s.lower()) for s in ("CRITICAL", "HIGH", "MEDIUM")]
-    return mine.agg(*counts)
+    return mine.agg(*_severity_counts(history))
 
 
 def severity_distribution(history: DataFrame) -> DataFrame:
@@ -217,6 +226,6 @@ def tickets(incidents: DataFrame, summary: str = "resumen", created: Column | No
 
 
 __all__ = [
-    "build_contexts", "history_labels", "latest", "node_history", "severity_distribution", "summarize", "tickets",
+    "build_contexts", "history_by_node", "history_labels", "latest", "node_history", "severity_distribution", "summarize", "tickets",
     "top_nodes", "weak_labels",
 ]

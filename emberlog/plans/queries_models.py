@@ -11,10 +11,9 @@ from emberlog.functions.responses import NO_CLIENT, parse_answers
 from emberlog.operators import incidents as I
 from emberlog.operators import ranking as R
 from emberlog.operators.classifier import WeakLabelClassifier
-from emberlog.operators.detector import MODEL_TYPES, AnomalyDetector
+from emberlog.operators.detector import MODEL_TYPES, AnomalyDetector, contamination_threshold
 from emberlog.operators.evaluation import compare_models, evaluate
 from emberlog.operators.features import fit_features
-from emberlog.operators.prefix import exact_quantiles
 from emberlog.operators.split import temporal_split
 from emberlog.plans import jobs
 from emberlog.plans.queries_scan import CONTEXT_COLUMNS, CONTEXT_OF, answer_texts, embedding_columns, event_stream
@@ -49,19 +48,22 @@ def m3_summary(spark, d):
         (F.min(F.when(flag, score)) > F.max(F.when(~flag, score))).alias("flags_are_the_highest"))
 
 
-@query("m4_local_outlier_factor", """WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
-tr AS (SELECT * FROM e WHERE label < 8),
+LOF_SQL = """WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
+tr AS (SELECT * FROM e {train}),
 dt AS (SELECT a.id, b.id AS nb, list_distance(a.v, b.v) AS dist FROM tr a JOIN tr b ON a.id <> b.id),
 nt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nb) AS rk FROM dt) WHERE rk <= 20),
 kd AS (SELECT id, max(dist) AS kdist FROM nt GROUP BY id),
 lr AS (SELECT nt.id, 1.0 / (avg(greatest(nt.dist, kd.kdist)) + 1e-10) AS lrd FROM nt JOIN kd ON kd.id = nt.nb GROUP BY nt.id),
 sc AS (SELECT nt.id, avg(n.lrd) / any_value(m.lrd) AS lof FROM nt JOIN lr n ON n.id = nt.nb JOIN lr m ON m.id = nt.id GROUP BY nt.id),
 th AS (SELECT quantile_cont(lof, 0.95) AS t FROM sc),
-dq AS (SELECT a.id, b.id AS nb, list_distance(a.v, b.v) AS dist FROM e a JOIN tr b ON true WHERE a.label >= 8),
+dq AS (SELECT a.id, b.id AS nb, list_distance(a.v, b.v) AS dist FROM e a JOIN tr b ON true {asked}),
 nq AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nb) AS rk FROM dq) WHERE rk <= 20),
 lq AS (SELECT nq.id, 1.0 / (avg(greatest(nq.dist, kd.kdist)) + 1e-10) AS lrd FROM nq JOIN kd ON kd.id = nq.nb GROUP BY nq.id),
 fq AS (SELECT nq.id, avg(lr.lrd) / any_value(lq.lrd) AS lof FROM nq JOIN lr ON lr.id = nq.nb JOIN lq ON lq.id = nq.id GROUP BY nq.id)
-SELECT id AS event_id, round(lof, 5) AS anomaly_score, lof > t AS is_predicted_anomaly FROM fq, th""", logs=False)
+SELECT id AS event_id, round(lof, 5) AS anomaly_score, lof > t AS is_predicted_anomaly FROM fq, th"""
+
+
+@query("m4_local_outlier_factor", LOF_SQL.format(train="WHERE label < 8", asked="WHERE a.label >= 8"), logs=False)
 def m4(spark, d):
     rows, names = embedding_columns(spark, d)
     model = AnomalyDetector("lof", contamination=0.05, n_neighbors=20).fit(rows.where("label < 8"), names)
@@ -69,6 +71,14 @@ def m4(spark, d):
     return out.select("event_id", F.round("anomaly_score", 5).alias("anomaly_score"), "is_predicted_anomaly")
 
 
+@query("p20_orientation", f"SELECT event_id, CAST(is_predicted_anomaly AS INTEGER) AS pred, anomaly_score AS score FROM ({LOF_SQL.format(train='', asked='')})", logs=False)
+def p20(spark, d):
+    """The unified scale, through the detector: a higher score is worse, 1 is an anomaly. Rows are scored by the model of all rows."""
+    rows, names = embedding_columns(spark, d)
+    out = AnomalyDetector("lof", contamination=0.05, n_neighbors=20).fit(rows, names).predict(rows)
+    return out.select("event_id", F.col("is_predicted_anomaly").cast("int").alias("pred"), F.round("anomaly_score", 5).alias("score"))
+
+
 @query("m5_one_class_svm")
 def m5(spark, d):
     rows, names = embedding_columns(spark, d)
@@ -79,7 +89,7 @@ def m5(spark, d):
 SELECT event_id, round(t, 6) AS threshold, anomaly_score > t AS is_predicted_anomaly FROM logs, t""")
 def m6(spark, d):
     logs = log_table(spark, d).select("event_id", "anomaly_score")
-    t = exact_quantiles(logs, ["anomaly_score"], [0.98]).first()["q0"]
+    t = contamination_threshold(logs, 0.02)
     return logs.select("event_id", F.round(F.lit(t), 6).alias("threshold"), (F.col("anomaly_score") > t).alias("is_predicted_anomaly"))
 
 
@@ -348,6 +358,4 @@ SELECT node, count(*) AS total, count(*) FILTER (severidad = 'CRITICAL') AS crit
 FROM h GROUP BY node""")
 def l4(spark, d):
     """The per-node history of every node at once."""
-    hist = log_table(spark, d).where("is_predicted_anomaly")
-    return hist.groupBy("node").agg(
-        F.count("*").alias("total"), *[F.count_if(F.col("severidad") == s).alias(s.lower()) for s in ("CRITICAL", "HIGH", "MEDIUM")])
+    return I.history_by_node(log_table(spark, d).where("is_predicted_anomaly"))

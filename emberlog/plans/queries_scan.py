@@ -299,8 +299,8 @@ def p13(spark, d):
 
 @query("p14_safe_names", """SELECT DISTINCT component, 'comp_' || lower(replace(replace(component || ' unit-A', ' ', '_'), '-', '_')) AS name FROM logs""")
 def p14(spark, d):
-    rows = log_table(spark, d).select("component").distinct().collect()  # names of columns
-    return spark.createDataFrame([(r["component"], S.safe_name(r["component"] + " unit-A")) for r in rows], "component string, name string")
+    names = log_table(spark, d).select("component").distinct()
+    return names.select("component", S.safe_name_of(F.concat("component", F.lit(" unit-A"))).alias("name"))
 
 
 @query("p15_schema_alignment", """SELECT event_id, 0.0::DOUBLE AS not_trained_here, CAST(CAST(anomaly_score AS FLOAT) AS DOUBLE) AS anomaly_score,
@@ -343,13 +343,6 @@ def p19(spark, d):
     return log_table(spark, d).select("event_id", S.hour_of_day(ts).alias("hour"), S.weekday_name(ts).alias("weekday"))
 
 
-@query("p20_orientation", """SELECT event_id, CAST(anomaly_score > 0.5 AS INTEGER) AS pred, round(anomaly_score, 6) AS score FROM logs""")
-def p20(spark, d):
-    raw = F.when(F.col("anomaly_score") > 0.5, -1).otherwise(1)
-    negative = -F.col("anomaly_score")
-    return log_table(spark, d).select("event_id", (raw == -1).cast("int").alias("pred"), F.round(-negative, 6).alias("score"))
-
-
 CONTEXT_COLUMNS = ["anomaly_id", "node", "timestamp", "total_events", "error_count", "error_rate", "warning_count", "fatal_count",
                    "components", "avg_severity", "sample_messages", "anomaly_score"]
 CONTEXT_OF = f"""WITH inc AS (SELECT event_id AS anomaly_id, timestamp AS t, node, anomaly_score FROM logs {{which}}),
