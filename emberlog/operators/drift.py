@@ -163,15 +163,28 @@ def refined_cells(long: DataFrame) -> Cells:
         known, still = _compared(materialize(finer, "ks-cells"), known)
 
 
+def _one_cell(values: DataFrame, columns: list[str], sides) -> tuple[DataFrame, Cells]:
+    """The cells to begin with, one a feature and open; enough where there is little to count anyway."""
+    spark, rows = values.sparkSession, sides["ref"] + sides["cur"]
+    known = spark.createDataFrame([(c, 0.0, sides["ref"], sides["cur"]) for c in columns], "feature string, best double, n_ref long, n_cur long")
+    still = spark.createDataFrame([(c, 0, 0, 0, rows) for c in columns], "feature string, cell long, b_ref long, b_cur long, rows long")
+    long = values.unpivot(["_cur"], columns, "feature", "value").withColumn("cell", F.lit(0).cast("long"))
+    return long, Cells(known, still, 0, rows * len(columns), rows * len(columns))
+
+
 def _ks(values: DataFrame, columns: list[str]) -> DataFrame:
     """``feature, ks, n_ref, n_cur``."""
-    long = _addressed(values, columns)
-    cells = refined_cells(long)
+    sides = values.agg(*_side_counts()).first()
+    if (sides["ref"] + sides["cur"]) * len(columns) <= OPEN_ROWS:
+        inside, cells = _one_cell(values, columns, sides)
+    else:
+        long = _addressed(values, columns)
+        cells = refined_cells(long)
+        inside = long.withColumn("cell", F.shiftright("at", ADDRESS_BITS - cells.bits)).join(cells.open.select("feature", "cell"), ["feature", "cell"])
     if not cells.open_rows:
         found = cells.known.withColumn("found", F.lit(0.0))
     else:
-        here = cells.open.select("feature", F.col("cell"), "b_ref", "b_cur")
-        inside = long.withColumn("cell", F.shiftright("at", ADDRESS_BITS - cells.bits)).join(here.select("feature", "cell"), ["feature", "cell"])
+        here = cells.open.select("feature", "cell", "b_ref", "b_cur")
         run = ordered_totals(inside.groupBy("feature", "cell", "value").agg(*_side_counts()), "value", ["ref", "cur"], ["feature", "cell"])
         joined = run.join(here, ["feature", "cell"]).join(cells.known, "feature")
         gap = F.abs(F.try_divide(F.col("b_ref") + F.col("run_ref"), F.col("n_ref")) - F.try_divide(F.col("b_cur") + F.col("run_cur"), F.col("n_cur")))
