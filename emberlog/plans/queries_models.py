@@ -85,6 +85,19 @@ def m5(spark, d):
     return _scored(AnomalyDetector("ocsvm", contamination=0.05), rows, names)
 
 
+@query("m5_boundary_summary", """SELECT count(*) AS n_rows, CAST(ceil(count(*) * 0.05) AS BIGINT) AS rank_of_boundary, TRUE AS few_outside, TRUE AS enough_on_or_outside
+FROM embeddings""", logs=False)
+def m5_summary(spark, d):
+    """The share law of the dual: at most nu of all rows lie outside the boundary, at least nu outside or on it."""
+    rows, names = embedding_columns(spark, d)
+    score = F.col("anomaly_score")
+    scored = _scored(AnomalyDetector("ocsvm", contamination=0.05), rows, names)
+    n = F.count("*")
+    return scored.agg(
+        n.alias("n_rows"), F.ceil(n * F.lit(0.05)).alias("rank_of_boundary"),
+        (F.count_if(score > 1e-12) <= n * 0.05).alias("few_outside"), (F.count_if(score >= -1e-12) >= n * 0.05).alias("enough_on_or_outside"))
+
+
 @query("m6_contamination_threshold", """WITH t AS (SELECT quantile_cont(anomaly_score, 0.98) AS t FROM logs)
 SELECT event_id, round(t, 6) AS threshold, anomaly_score > t AS is_predicted_anomaly FROM logs, t""")
 def m6(spark, d):
