@@ -17,12 +17,13 @@ So every source's quota and every shard's capacity hold exactly, and the table
 of counts is distributed as if all blocks had been shuffled together and cut
 into shards, yet no step handles more than one node's ``shards`` counts. A shard
 then takes the next run of each source's order, which keeps the runs disjoint,
-and orders its own blocks by ``local_key``.
+and shuffles its own blocks: ``place`` numbers them from 0 by ``local_key``.
 
 Only DataFrame expressions are used. Draws come from hashes of content, so
 reruns agree. Defined cases: a null or empty text has no words, no blocks, and
 is never taken; an empty table gives no rows; rows equal in id and text are
-drawn separately. Extra columns are ignored.
+drawn separately. Extra columns are ignored by ``mix`` and ``taken_words`` and
+kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -200,6 +201,15 @@ def drawn_blocks(rows: DataFrame, sources: DataFrame, block_words: int | None =
                         F.xxhash64(F.lit(seed + 1), "h", "pass").alias("local_key"))
 
 
+def shuffled(drawn: DataFrame) -> DataFrame:
+    """Drawn blocks with ``place``, their number in the shard by ``local_key``: from 0, without gaps."""
+    drawn = materialize(drawn, "drawn")
+    sizes = drawn.groupBy("shard").agg(F.count("*").alias("shard_blocks"))
+    cells = drawn.join(sizes, "shard").withColumn("cell", cell_of(F.col("local_key"), F.col("shard_blocks")))
+    cells = cells.withColumn("o", F.col("local_key").bitwiseXOR(F.lit(-(1 << 63)).cast("long")))
+    return ranked(cells, ["shard"], "cell", ["o", "doc_id", "block", "pass", "row"]).select(*drawn.columns, F.col("position").alias("place"))
+
+
 def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SHARDS, most_passes: int = MOST_PASSES, seed: int = 7,
         once: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, sources, drawn blocks)`` of the mix."""
@@ -209,23 +219,38 @@ def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, shards: int = SH
 
 
 def taken_words(docs: DataFrame, **how) -> DataFrame:
-    """Per document, what the mix takes of it: ``doc_id, size, source_size, target, taken, n_shards``."""
+    """Per document, what the mix takes of it: ``doc_id, size, source_size, target, taken, n_shards, first_shard, first_place``.
+
+    The last two name the first block taken in the order of shards and their
+    places; null where nothing is taken.
+    """
     rows, sources, drawn = mix(docs, **how)
-    taken = drawn.groupBy("row").agg(F.sum("words").alias("taken"), F.bit_count(F.expr("bit_or(shiftleft(1L, shard))")).alias("n_shards"))
+    taken = shuffled(drawn).groupBy("row").agg(
+        F.sum("words").alias("taken"), F.bit_count(F.expr("bit_or(shiftleft(1L, shard))")).alias("n_shards"), F.min(F.struct("shard", "place")).alias("first"))
     sources = sources.select(F.col("source").alias("of"), "source_size", "target")
     return rows.join(sources, F.col("source").eqNullSafe(F.col("of"))).join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-        F.coalesce("n_shards", F.lit(0)).cast("int").alias("n_shards"))
+        F.coalesce("n_shards", F.lit(0)).cast("int").alias("n_shards"),
+        F.col("first.shard").cast("int").alias("first_shard"), F.col("first.place").alias("first_place"))
 
 
 def mixed_documents(docs: DataFrame, shards: int = SHARDS, most_passes: int = MOST_PASSES, seed: int = 7) -> DataFrame:
-    """The rows of ``docs`` the mix takes, whole, as often as it takes them (a document is one block).
+    """The rows of ``docs`` the mix takes, whole, as often as it takes them (a document is one block), in the mix's order.
 
-    Rows equal in id, text and source count as one document, and each is taken alike.
+    Each shard of the tree is cut by leading bits of ``local_key`` into slices,
+    a partition each, and a slice is sorted by ``local_key``: partitions follow
+    each other by shard, then place. Rows equal in id, text and source count as one
+    document, and each is taken alike. The rows travel as one struct beside the
+    mix's own columns, so their names can't clash with those.
     """
     rows, _, drawn = mix(docs, None, shards, most_passes, seed, once=True)
-    times = drawn.groupBy("row").agg(F.count("*").alias("_times")).join(rows, "row")
-    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("th").alias("_th"), "_times")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.xxhash64("text") == F.col("_th"))
-    out = docs.join(times, same).withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return out.select(*docs.columns)
+    taken = drawn.join(rows.select("row", "th"), "row").groupBy("doc_id", "source", "th").agg(
+        F.collect_list(F.struct("shard", "local_key")).alias("units"))  # at most ``most_passes`` and one
+    each = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
+    same = (F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & F.col("doc.source").eqNullSafe(F.col("source")) & (F.xxhash64("doc.text") == F.col("th")))
+    units = each.join(taken, same).select("doc", F.inline("units"))
+    bits = max(0, (shuffle_parts(docs.sparkSession) // shards).bit_length() - 1)
+    slice_ = F.call_function("shiftrightunsigned", F.col("local_key"), F.lit(64 - bits)).cast("int") if bits else F.lit(0)
+    units = units.withColumn("part", F.col("shard").cast("int") * (1 << bits) + slice_)
+    order = F.col("local_key").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    return units.repartitionById(shards << bits, "part").sortWithinPartitions("part", order).select("doc.*")

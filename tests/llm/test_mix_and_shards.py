@@ -103,6 +103,46 @@ def test_mixed_documents_are_whole_rows(make_docs):
     assert all(r["text"] in texts and r["text"].strip() for r in out.collect())
 
 
+def test_blocks_are_shuffled_inside_their_shard(make_docs):
+    _, _, drawn = M.mix(make_docs(corpus()), block_words=16, shards=5)
+    rows = M.shuffled(drawn).collect()
+    assert len(rows) == drawn.count()
+    for shard in range(5):
+        own = sorted((r for r in rows if r["shard"] == shard), key=lambda r: r["place"])
+        assert [r["place"] for r in own] == list(range(len(own)))
+        keys = [r["local_key"] % (1 << 64) for r in own]
+        assert keys == sorted(keys)
+        hot = [r["place"] for r in own if r["source"] == "hot"]  # not in one run
+        assert np.mean(np.diff(hot) > 1) > 0.1
+
+
+def test_first_places_are_rows_of_the_shuffle(make_docs):
+    got = M.taken_words(make_docs(corpus())).collect()
+    first = [(r["first_shard"], r["first_place"]) for r in got if r["taken"]]
+    assert len(set(first)) == len(first) and all(s in range(M.SHARDS) and p >= 0 for s, p in first)
+    assert all(r["first_shard"] is None and r["first_place"] is None and not r["n_shards"] for r in got if not r["taken"])
+
+
+def test_mixed_documents_keep_columns_of_any_name(make_docs):
+    docs = make_docs(corpus())
+    names = ["_pass", "_times", "_th", "_id", "_source", "units", "part", "shard", "local_key", "row", "th", "doc", "a.b", "size"]
+    wide = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce("text", F.lit(""))).alias(n) for n in names])
+    out = M.mixed_documents(wide)
+    assert out.columns == wide.columns
+    rows = out.collect()
+    assert rows and all(r[n] == f"{n} of {r['text']}" for r in rows for n in names)
+    plain = M.mixed_documents(docs)
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in plain.collect())
+
+
+def test_mixed_documents_come_in_the_order_of_the_mix(make_docs):
+    docs = make_docs([(i, t, s) for i, t, s in corpus() if i != 3000])
+    rows, _, drawn = M.mix(docs, None, 4, once=True)
+    placed = M.shuffled(drawn).collect()
+    out = M.mixed_documents(docs, shards=4).collect()
+    assert [r["doc_id"] for r in out] == [r["doc_id"] for r in sorted(placed, key=lambda r: (r["shard"], r["place"]))]
+
+
 def test_mix_of_nothing(make_docs):
     docs = make_docs([])
     assert M.taken_words(docs).collect() == [] and M.mixed_documents(docs).collect() == []
