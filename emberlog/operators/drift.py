@@ -42,18 +42,19 @@ def _p_value(d: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
-def ks_per_feature(both: DataFrame, columns: Sequence[str], is_current: Column) -> DataFrame:
+def ks_per_feature(both: DataFrame, columns: Sequence[str], is_current: Column, direct_below: int = OPEN_ROWS) -> DataFrame:
     """KS statistic and p-value per feature for two sides held in one table.
 
     Counting every value would shuffle every value of every feature. The ECDFs
     are compared at the borders of cells first (``refined_cells``), and values
     are counted one by one only in the cells left open. The statistic is exact.
-    A side without rows has statistic and p-value 1.
+    A side without rows has statistic and p-value 1. Tables of at most
+    ``direct_below`` values (rows times features) are counted one by one at once.
     """
     values = both.select(
         is_current.alias("_cur"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
     )
-    stat = _ks(values, list(columns))
+    stat = _ks(values, list(columns), direct_below)
     no_side = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
     stat = stat.withColumn("ks", F.when(no_side, 1.0).otherwise(F.col("ks")))
     return stat.withColumn("p_value", _p_value(F.col("ks"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
@@ -172,10 +173,10 @@ def _one_cell(values: DataFrame, columns: list[str], sides) -> tuple[DataFrame,
     return long, Cells(known, still, 0, rows * len(columns), rows * len(columns))
 
 
-def _ks(values: DataFrame, columns: list[str]) -> DataFrame:
+def _ks(values: DataFrame, columns: list[str], direct_below: int = OPEN_ROWS) -> DataFrame:
     """``feature, ks, n_ref, n_cur``."""
     sides = values.agg(*_side_counts()).first()
-    if (sides["ref"] + sides["cur"]) * len(columns) <= OPEN_ROWS:
+    if (sides["ref"] + sides["cur"]) * len(columns) <= direct_below:
         inside, cells = _one_cell(values, columns, sides)
     else:
         long = _addressed(values, columns)
