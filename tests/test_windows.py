@@ -102,3 +102,25 @@ def test_robust_scale_zero_range_divides_by_one(spark):
     rows = robust_scale(df, bounds, ["k"]).orderBy("k").collect()
     assert [r["b"] for r in rows] == [0, 0, 0, 0, 2]
     assert rows[4]["a"] == pytest.approx(48.5)
+
+
+def test_largest_block_fits_a_python_worker_share():
+    """A block task holds at most twice BLOCK_ROWS pairs; 4 of them share 4,000 MB."""
+    import tracemalloc
+
+    from emberlog.operators import windows
+
+    rows = 2 * windows.BLOCK_ROWS
+    block_us = 120 * 15 * windows.MINUTE_US
+    rng = np.random.default_rng(7)
+    codes = rng.integers(0, 48, rows)
+    pdf = pd.DataFrame({"us": np.sort(rng.integers(block_us, 2 * block_us, rows)),
+                        "node": np.array([f"R{k % 24}-M{k % 2}" for k in range(48)], dtype=object)[codes],
+                        **{c: rng.integers(0, 3, rows) for c in windows.SUMS}, "block": 1})
+    tracemalloc.start()
+    try:
+        windows._block_frames(block_us, windows.WINDOW_MINUTES)(pdf)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1000 * 2**20
